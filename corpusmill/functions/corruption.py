@@ -30,13 +30,14 @@ def flip_low_bits(df: DataFrame, data: str, key: Column, seed: Column, out: str
     """
     size = F.octet_length(data).cast("bigint")
     drawn = df.withColumn("_drawn", flip_positions(size, key, seed))
-    odd = drawn.withColumn(
-        "_at",
-        F.filter(
-            F.array_distinct("_drawn"),
-            lambda p: F.size(F.filter(F.col("_drawn"), lambda q: q == p)) % 2 == 1,
-        ),
-    ).drop("_drawn")
+    draws = F.col("_drawn")
+
+    def ends_odd_run(position: Column, index: Column) -> Column:
+        following = F.try_element_at(draws, (index + 2).cast("int"))
+        run = index + 2 - F.array_position(draws, position)
+        return (F.coalesce(following, F.lit(-1)) != position) & (run % 2 == 1)
+
+    odd = drawn.withColumn("_at", F.filter(draws, ends_odd_run)).drop("_drawn")
 
     def upto(position: Column, index: Column) -> Column:
         start = F.when(index == 0, F.lit(0)).otherwise(F.try_element_at("_at", index.cast("int")) + 1)

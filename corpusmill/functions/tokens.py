@@ -23,14 +23,17 @@ RANDOM_PERMILLE = 900
 
 
 def words(text: Column, limit: int) -> Column:
-    """The first ``limit`` lower-cased words; the split stops there."""
-    trimmed = F.regexp_replace(text, r"(?U)^\s++|(?<!\s)\s++\z", "")
-    parts = F.split(F.lower(trimmed), r"(?U)\s+", limit + 1)
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.slice(parts, 1, limit))
+    """The first ``limit`` words; the split stops there.
+
+    Splitting yields one part more than asked for, the unsplit rest, and an empty part in front of
+    leading blanks: two more than the limit always hold enough.
+    """
+    parts = F.slice(F.split(text, r"(?U)\s+", limit + 2), 1, limit + 1)
+    return F.slice(F.filter(parts, lambda word: word != ""), 1, limit)
 
 
 def word_number(word: Column) -> Column:
-    return (hashed_number(word, 8) % (VOCABULARY - FIRST_WORD) + FIRST_WORD).cast("int")
+    return (hashed_number(F.lower(word), 8) % (VOCABULARY - FIRST_WORD) + FIRST_WORD).cast("int")
 
 
 def token_ids(text: Column, max_length: int = MAX_LENGTH) -> Column:

@@ -33,32 +33,37 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("whitespace", r"\s+", " "),
 )
 
-# The same rules in the single-pass form described above.
+# The same rules in the single-pass form described above. Each begins with its literal opening, which is
+# what the engine looks for fastest; a lookbehind captures the opening again where it must be kept.
 _LINEAR: dict[str, tuple[str, str]] = {
-    "templates": (r"\{\{[^}]*+\}\}|(\{\{[^}]*+(?:\}(?!\})|\z))", "$1"),
+    "templates": (r"\{\{(?:[^}]*+\}\}|(?<=(\{\{))([^}]*+(?:\}(?!\})|\z)))", "$1$2"),
     "file links": (
-        r"\[\[(?:File|Image):[^\]]*+\]\]|(\[\[(?:File|Image):[^\]]*+(?:\](?!\])|\z))",
-        "$1",
+        r"\[\[(?:(?:File|Image):[^\]]*+\]\]|(?<=(\[\[))((?:File|Image):[^\]]*+(?:\](?!\])|\z)))",
+        "$1$2",
     ),
     "piped links": (
-        r"\[\[[^|\]]++\|([^\]]++)\]\]|(\[\[(?!\|)[^\]]*+(?:\]|\z))",
-        "$1$2",
+        r"\[\[(?:[^|\]]++\|([^\]]++)\]\]|(?<=(\[\[))((?!\|)[^\]]*+(?:\]|\z)))",
+        "$1$2$3",
     ),
-    "simple links": (r"\[\[([^\]]++)\]\]|(\[\[[^\]]*+(?:\]|\z))", "$1$2"),
-    "comments": (r"<!--.*?-->|(<!--[^\n]*+)", "$1"),
+    "simple links": (r"\[\[(?:([^\]]++)\]\]|(?<=(\[\[))([^\]]*+(?:\]|\z)))", "$1$2$3"),
+    "comments": (r"<!--(?:.*?-->|(?<=(<!--))([^\n]*+))", "$1$2"),
     "labelled external links": (
-        r"\[https?://[^\s\]]++ ([^\]]++)\]|(\[https?://[^\s\]]++ [^\]]++\z)",
+        r"\[http(?:s?://[^\s\]]++ ([^\]]++)\]|(?<=(\[http))(s?://[^\s\]]++ [^\]]++\z))",
+        "$1$2$3",
+    ),
+    "bare external links": (
+        r"\[http(?:s?://[^\s\]]++\]|(?<=(\[http))(s?://[^\s\]]++))",
         "$1$2",
     ),
-    "bare external links": (r"\[https?://[^\s\]]++\]|(\[https?://[^\s\]]++)", "$1"),
-    "headings": (r"(?<!=)=++(?:\s*+([^=\s][^=]*+)|\s*(\s))=++", "$1$2"),
+    "headings": (r"=(?<!==)=*+(?:\s*+([^=\s][^=]*+)|\s*(\s))=++", "$1$2"),
     "paired references": (
-        r"<ref[^>]*+>.*?</ref>|(<ref[^>]*+(?:>(?:[^\n]*>)?+|\z))",
-        "$1",
+        r"<ref(?:[^>]*+>.*?</ref>|(?<=(<ref))([^>]*+(?:>(?:[^\n]*>)?+|\z)))",
+        "$1$2",
     ),
-    "closed references": (r"<ref[^>]*/\s*>|(<ref[^>]*+(?:>|\z))", "$1"),
-    "tags": (r"<[^>]++>|(<[^>]*+\z)", "$1"),
-    "whitespace": (r"\s+", " "),
+    "closed references": (r"<ref(?:[^>]*/\s*>|(?<=(<ref))([^>]*+(?:>|\z)))", "$1$2"),
+    "tags": (r"<(?:[^>]++>|(?<=(<))([^>]*+\z))", "$1$2"),
+    # A lone space is left as it is instead of being replaced by itself.
+    "whitespace": (r"\s(?:\s++|(?<! ))", " "),
 }
 
 

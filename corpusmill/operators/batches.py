@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import tokens
 from corpusmill.operators import ordering
+from corpusmill.session import ship_package
 
 SEED = 42
 
@@ -90,6 +91,7 @@ def map_batches(
         for frame in frames:
             yield function(frame)
 
+    ship_package()
     return df.mapInPandas(run, schema).drop(*drop)
 
 
@@ -97,4 +99,5 @@ def collate_batches(
     df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str
 ) -> DataFrame:
     """Apply a user function to each batch of rows; batches have a fixed number of rows."""
+    ship_package()
     return df.groupBy("batch").applyInPandas(function, schema)

@@ -1,22 +1,26 @@
 """Operators that depend on record order, without a window over the whole table.
 
 A running total over everything would put all rows into one task. Here the order key, a number, is cut
-into buckets of 2**16 keys: totals per bucket are summed up over the small bucket table (itself cut the
-same way), and only the rows of one bucket are ordered together. A window therefore sees at most 2**16
-rows, or 2**20 bucket totals, however large or skewed the table is.
+into buckets of 2**16 keys. One aggregation, combined before its shuffle, gives the totals per bucket;
+the small table of bucket totals is written down and summed up (itself cut the same way), and only the
+rows of one bucket are ever ordered together. A window therefore sees at most 2**16 rows, or 2**20 bucket
+totals, however large or skewed the table is. Often no row has to move at all: see ``with_position`` and
+``within_budget``.
 
 Contract: the key is unique, or ``tie`` columns make it so, and lies within 52 bits (record positions do).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusmill.functions import names
+from corpusmill.session import materialized
 
 # Rows per output file, files per folder, folders, records per chunk, batch size.
 ROWS_PER_SHARD = 100
@@ -35,63 +39,66 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by))
 
 
+def _bucket_totals(df: DataFrame, key: str, costs: dict[str, Column], fine: int) -> DataFrame:
+    """Per bucket: the sum of each cost, the number of rows, the first and the last key."""
+    number = F.col(key).cast("bigint")
+    return materialized(
+        df.groupBy(F.shiftright(number, fine).alias("_b")).agg(
+            *[F.sum(c.cast("bigint")).alias(f"_s_{n}") for n, c in costs.items()],
+            F.count("*").alias("_n"),
+            F.min(number).alias("_first"),
+            F.max(number).alias("_last"),
+        ),
+        "bucket-totals",
+    )
+
+
+def _bucket_offsets(per_bucket: DataFrame, costs: Iterable[str], shift: int) -> DataFrame:
+    """The bucket totals with ``_o_<name>``, the total before each bucket.
+
+    Totals are first summed over groups of 2**shift buckets, so that no window holds more than that.
+    """
+    grouped = per_bucket.withColumn("_g", F.shiftright("_b", shift))
+    groups = grouped.groupBy("_g").agg(*[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in costs])
+    all_earlier = W.partitionBy(F.lit(0)).orderBy("_g").rowsBetween(W.unboundedPreceding, -1)
+    groups = groups.select(
+        "_g", *[F.coalesce(F.sum(f"_t_{n}").over(all_earlier), F.lit(0)).alias(f"_p_{n}") for n in costs]
+    )
+    earlier = W.partitionBy("_g").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    offsets = {f"_o_{n}": F.col(f"_p_{n}") + F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)) for n in costs}
+    return grouped.join(groups, "_g").select(*per_bucket.columns, *[o.alias(n) for n, o in offsets.items()])
+
+
 def running_totals(
     df: DataFrame,
     key: str,
     costs: dict[str, Column],
     tie: Sequence[str] = (),
     shifts: tuple[int, int] = DENSE_KEY,
-    below: tuple[str, Column] | None = None,
 ) -> DataFrame:
     """Add ``before_<name>``: the sum of each cost over all rows earlier in key order.
 
-    ``below=(name, bound)`` keeps only rows whose total before them is under the bound, and drops whole
-    buckets beyond it before any row is ordered.
+    The input is read twice; where a cost is derived from wide columns, hand in a ``materialized`` table
+    of keys and costs. Its rows are shuffled once, by bucket.
     """
     fine, coarse = shifts
-    carried = df.columns
+    per_bucket = _bucket_totals(df, key, costs, fine)
+    offsets = _bucket_offsets(per_bucket, costs, coarse - fine).select("_b", *[f"_o_{n}" for n in costs])
+    return _totals_in_buckets(df, key, costs, tie, fine, offsets)
+
+
+def _totals_in_buckets(
+    df: DataFrame, key: str, costs: dict[str, Column], tie: Sequence[str], fine: int, offsets: DataFrame
+) -> DataFrame:
     rows = df.withColumns(
         {"_b": F.shiftright(F.col(key).cast("bigint"), fine)}
         | {f"_c_{n}": c.cast("bigint") for n, c in costs.items()}
     )
-    extra = []
-    if len(carried) <= 2 + len(tie):
-        # Narrow rows are shuffled once for both uses below. max() over the carried columns changes no
-        # result: with it both uses read the same columns, and Spark reuses the exchange.
-        rows = rows.repartition("_b")
-        extra = [F.max(c).alias(f"_m{i}") for i, c in enumerate(carried)]
-    per_bucket = rows.groupBy("_b").agg(*[F.sum(f"_c_{n}").alias(f"_s_{n}") for n in costs], *extra)
-    offsets = _bucket_offsets(per_bucket, list(costs), coarse - fine)
-
-    placed = rows.join(offsets, "_b")
-    if below:
-        placed = placed.where(F.col(f"_o_{below[0]}") < below[1])
     earlier = W.partitionBy("_b").orderBy(key, *tie).rowsBetween(W.unboundedPreceding, -1)
     totals = {
         f"before_{n}": F.col(f"_o_{n}") + F.coalesce(F.sum(f"_c_{n}").over(earlier), F.lit(0)) for n in costs
     }
-    placed = placed.withColumns(totals)
-    if below:
-        placed = placed.where(F.col(f"before_{below[0]}") < below[1])
-    return placed.select(*carried, *totals)
-
-
-def _bucket_offsets(per_bucket: DataFrame, costs: list[str], shift: int) -> DataFrame:
-    """Totals before each bucket, from totals before each group of 2**shift buckets."""
-    grouped = per_bucket.withColumn("_g", F.shiftright("_b", shift))
-    groups = grouped.groupBy("_g").agg(*[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in costs])
-    all_earlier = W.partitionBy(F.lit(0)).orderBy("_g").rowsBetween(W.unboundedPreceding, -1)
-    groups = groups.select(
-        "_g", *[F.coalesce(F.sum(f"_t_{n}").over(all_earlier), F.lit(0)).alias(f"_p_{n}") for n in costs]
-    )
-    earlier = W.partitionBy("_g").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    return grouped.join(groups, "_g").select(
-        "_b",
-        *[
-            (F.col(f"_p_{n}") + F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0))).alias(f"_o_{n}")
-            for n in costs
-        ],
-    )
+    return rows.join(offsets, "_b").select(*df.columns, *[t.alias(n) for n, t in totals.items()])
 
 
 def with_position(
@@ -101,34 +108,91 @@ def with_position(
     shifts: tuple[int, int] = DENSE_KEY,
     name: str = "pos",
 ) -> DataFrame:
-    """Add the row's 0-based rank in key order: dense, unique, independent of partitioning."""
-    ranked = running_totals(df, key, {"rows": F.lit(1)}, tie, shifts)
-    return ranked.withColumnRenamed("before_rows", name)
+    """Add the row's 0-based rank in key order: dense, unique, independent of partitioning.
+
+    In a bucket without gaps the rank follows from the key by subtraction. Rows of such buckets only look
+    up the bucket's offset, which moves none of them while the offsets are small enough to broadcast;
+    Spark decides that by their size. Only buckets with gaps are shuffled and ordered.
+    """
+    fine, coarse = shifts
+    costs = {"rows": F.lit(1)}
+    per_bucket = _bucket_totals(df, key, costs, fine)
+    offsets = _bucket_offsets(per_bucket, costs, coarse - fine)
+    full = F.lit(False) if tie else F.col("_last") - F.col("_first") + 1 == F.col("_n")
+    lookup = offsets.where(full).select("_b", "_first", "_o_rows")
+    ranked = (
+        df.withColumn("_b", F.shiftright(F.col(key).cast("bigint"), fine))
+        .join(lookup, "_b")
+        .select(*df.columns, (F.col("_o_rows") + F.col(key) - F.col("_first")).alias(name))
+    )
+    gaps = per_bucket.where(~full)
+    if gaps.isEmpty():
+        return ranked
+    gapped = offsets.where(~full).select("_b", "_o_rows")
+    ordered = _totals_in_buckets(df, key, costs, tie, fine, gapped).withColumnRenamed("before_rows", name)
+    return ordered if tie or per_bucket.where(full).isEmpty() else ranked.unionByName(ordered)
 
 
-def within_budget(df: DataFrame, key: str, cost: Column, budget: int | Column, tie: Sequence[str] = ()) -> DataFrame:
-    """Rows taken in key order until their total reaches the budget; the last may overshoot it."""
-    bound = budget if isinstance(budget, Column) else F.lit(budget)
-    return running_totals(df, key, {"bytes": cost}, tie, below=("bytes", bound))
+@dataclass(frozen=True)
+class Cut:
+    """Where a budget is reached: the last key taken and the total before it."""
+
+    key: int
+    before: int
+
+
+def budget_cut(df: DataFrame, key: str, cost: Column, budget: int) -> Cut | None:
+    """The last record taken when records are taken in key order until the budget is reached.
+
+    Bucket totals name the one bucket in which that happens; only its rows are ordered.
+    """
+    fine, coarse = DENSE_KEY
+    costs = {"bytes": cost}
+    offsets = _bucket_offsets(_bucket_totals(df, key, costs, fine), costs, coarse - fine)
+    last = offsets.where(F.col("_o_bytes") < budget).orderBy(F.desc("_b")).limit(1).first()
+    if last is None:
+        return None
+    inside = df.where(F.col(key).between(last["_first"], last["_last"]))
+    earlier = W.partitionBy(F.lit(0)).orderBy(key).rowsBetween(W.unboundedPreceding, -1)
+    before = F.lit(last["_o_bytes"]) + F.coalesce(F.sum(cost.cast("bigint")).over(earlier), F.lit(0))
+    found = (
+        inside.select(F.col(key).alias("key"), before.alias("before"))
+        .where(F.col("before") < budget)
+        .orderBy(F.desc("key"))
+        .limit(1)
+        .first()
+    )
+    return Cut(found["key"], found["before"])
+
+
+def within_budget(df: DataFrame, key: str, cost: Column, budget: int) -> DataFrame:
+    """Rows taken in key order until their total reaches the budget; the last may overshoot it.
+
+    They are a range of keys, so the result is a filter the scan can use, and no row moves.
+    """
+    cut = budget_cut(df, key, cost, budget)
+    return df.where(F.lit(False) if cut is None else F.col(key) <= cut.key)
 
 
-def byte_prefix(df: DataFrame, key: str, data: str, n_bytes: int | Column, tie: Sequence[str] = ()) -> DataFrame:
+def byte_prefix(df: DataFrame, key: str, data: str, n_bytes: int) -> DataFrame:
     """The first ``n_bytes`` of the newline-terminated records in key order, the last one cut short.
 
     Adds ``piece``: the record's bytes (with its newline) that fall inside the prefix.
     """
-    bound = n_bytes if isinstance(n_bytes, Column) else F.lit(n_bytes)
     line = F.concat(F.col(data).cast("binary"), F.lit(b"\n"))
-    kept = within_budget(df, key, F.octet_length(data) + 1, bound, tie)
-    room = F.least(bound - F.col("before_bytes"), F.octet_length(data) + F.lit(1).cast("bigint"))
-    return kept.withColumn("piece", F.substring(line, F.lit(1), room.cast("int")))
+    cut = budget_cut(df, key, F.octet_length(data) + 1, n_bytes)
+    if cut is None:
+        return df.where(F.lit(False)).withColumn("piece", line)
+    room = min(n_bytes - cut.before, 2**31 - 1)
+    piece = F.when(F.col(key) < cut.key, line).otherwise(F.substring(line, 1, room))
+    return df.where(F.col(key) <= cut.key).withColumn("piece", piece)
 
 
 def milestones(
     df: DataFrame, key: str, cost: Column, target_bytes: int, every: int = MILESTONE_ROWS
 ) -> DataFrame:
     """One row per ``every`` records: position, bytes so far, GiB and percent of the target."""
-    sized = df.select(key, cost.cast("bigint").alias("_size"))
+    sized = materialized(df.select(key, cost.cast("bigint").alias("_size")), "sizes")
     totals = running_totals(sized, key, {"rows": F.lit(1), "bytes": F.col("_size")})
     so_far = F.col("before_bytes") + F.col("_size")
     return totals.where(F.col("before_rows") % every == 0).select(

@@ -13,13 +13,14 @@ BLOCK_BYTES = 4096
 
 
 def fixed_blocks(data: Column, block_bytes: int = BLOCK_BYTES) -> Column:
-    """Consecutive byte blocks of equal size, the last possibly shorter."""
-    raw = data.cast("binary")
-    size = F.octet_length(raw)
-    starts = F.sequence(F.lit(1), size, F.lit(block_bytes))
-    return F.when(size > 0, F.transform(starts, lambda at: F.substring(raw, at, F.lit(block_bytes)))).otherwise(
-        F.array().cast("array<binary>")
-    )
+    """Consecutive byte blocks of equal size, the last possibly shorter.
+
+    Read as Latin-1 every byte is one character, so one regular expression cuts the record in a single
+    pass; a substring per block would copy the whole record for each of them.
+    """
+    characters = F.decode(data.cast("binary"), "ISO-8859-1")
+    cut = F.regexp_extract_all(characters, F.lit(f"(?s).{{1,{block_bytes}}}"), 0)
+    return F.transform(cut, lambda block: F.encode(block, "ISO-8859-1"))
 
 
 def line_blocks(text: Column) -> Column:
@@ -42,7 +43,8 @@ def split_blocks(df: DataFrame, data: str, keep: list[str], block_bytes: int | N
 
 
 def fingerprint(data: Column) -> Column:
-    return F.sha2(data.cast("binary"), 256)
+    """SHA-256 as 32 bytes: half the shuffle volume of its hex digits."""
+    return F.unhex(F.sha2(data.cast("binary"), 256))
 
 
 def exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -58,7 +60,9 @@ def exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
             F.max("_size").alias("_size"),
         )
         .where("copies > 1")
-        .withColumn("surplus_bytes", F.col("total_bytes") - F.col("_size"))
+        .withColumns(
+            {"digest": F.lower(F.hex("digest")), "surplus_bytes": F.col("total_bytes") - F.col("_size")}
+        )
         .drop("_size")
     )
 
@@ -107,30 +111,36 @@ def block_statistics(
     return parts.unionByName(whole).withColumn("dedup_ratio", ratio)
 
 
-def variant_overlap(base: DataFrame, variants: DataFrame, key: str, variant: str) -> DataFrame:
+def variant_overlap(base: DataFrame, variants: DataFrame, key: str, variant: str, n: int) -> DataFrame:
     """Jaccard overlap of each variant's distinct blocks with those of the record it was made from.
 
-    Both inputs hold (key, fp), ``variants`` also the variant number. Pairs come from the planting
-    itself, so no pair of records is ever formed: a block is counted on either side by one aggregate.
+    Both inputs hold (key, fp), ``variants`` also the variant's number from 1 to ``n`` (at most 62).
+    Pairs come from the planting itself, so no pair of records is ever formed: one aggregate notes for
+    every block which variants hold it, as bits, and whether the base does, as bit 0.
     """
-    numbers = variants.select(key, variant).distinct()
-    sides = base.join(numbers, key).select(key, variant, "fp", F.lit(1).alias("b"), F.lit(0).alias("v"))
-    sides = sides.unionByName(variants.select(key, variant, "fp", F.lit(0).alias("b"), F.lit(1).alias("v")))
-    return (
-        sides.groupBy(key, variant, "fp")
-        .agg(F.max("b").alias("b"), F.max("v").alias("v"))
-        .groupBy(key, variant)
-        .agg(
-            F.sum("b").alias("base_blocks"),
-            F.sum("v").alias("variant_blocks"),
-            F.sum(F.col("b") * F.col("v")).alias("shared_blocks"),
-        )
-        .withColumn(
-            "jaccard",
-            F.round(
-                F.col("shared_blocks")
-                / (F.col("base_blocks") + F.col("variant_blocks") - F.col("shared_blocks")),
-                6,
-            ),
-        )
+    bit = F.expr(f"shiftleft(1L, CAST({variant} AS INT))")
+    held = base.select(key, "fp", F.lit(1).cast("bigint").alias("_bit")).unionByName(
+        variants.select(key, "fp", bit.alias("_bit"))
+    )
+    held = held.groupBy(key, "fp").agg(F.bit_or("_bit").alias("_bits"))
+
+    def holds(number: int) -> Column:
+        return F.getbit("_bits", F.lit(number)).cast("bigint")
+
+    counts = held.groupBy(key).agg(
+        F.sum(holds(0)).alias("base_blocks"),
+        F.array(
+            *[
+                F.struct(
+                    F.lit(i).cast("bigint").alias(variant),
+                    F.sum(holds(i)).alias("variant_blocks"),
+                    F.sum(holds(0) * holds(i)).alias("shared_blocks"),
+                )
+                for i in range(1, n + 1)
+            ]
+        ).alias("_variants"),
+    )
+    either = F.col("base_blocks") + F.col("variant_blocks") - F.col("shared_blocks")
+    return counts.select(key, "base_blocks", F.inline("_variants")).withColumn(
+        "jaccard", F.round(F.col("shared_blocks") / either, 6)
     )

@@ -13,7 +13,7 @@ from corpusmill.functions.frames import frame, framed_size
 from corpusmill.functions.wikitext import strip_markup
 from corpusmill.operators import batches, ordering, redundancy, replicate, sizes
 from corpusmill.plans import code, measure, staged, wiki
-from corpusmill.session import spread, work_folder
+from corpusmill.session import materialized, spread, work_folder
 from corpusmill.sinks import append, chunks, jsonl, store
 from corpusmill.sources import files, mediawiki
 from corpusmill.sources import text as text_source
@@ -26,7 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 # Parameters of the registered queries, shared with their SQL.
 ROWS_PER_CHUNK = 100
-SHARD_LAYOUT = {"rows_per_file": 4, "files_per_folder": 5, "folders": 26}
+SHARD_LAYOUT = {"rows_per_file": 20, "files_per_folder": 5, "folders": 3}
 MILESTONE_TARGET = 10 * 1024**2
 SMALL_BLOCK = 256
 OVERLAP_BLOCK = 64
@@ -60,9 +60,9 @@ def size_of(column: str) -> Column:
     return F.octet_length(column).cast("bigint")
 
 
-def half_of(df: DataFrame, size: Column) -> Column:
-    """Half the total as a one-row subquery: a budget that grows with the table."""
-    return df.agg(F.call_function("div", F.sum(size), F.lit(2))).scalar()
+def half_of(df: DataFrame, size: Column) -> int:
+    """Half the total: a budget that grows with the table."""
+    return df.agg(F.sum(size)).first()[0] // 2
 
 
 # ---- cleaning ---------------------------------------------------------------------------------------
@@ -149,8 +149,9 @@ def byte_budget_prefix(spark: SparkSession, sf: str) -> DataFrame:
     sized = documents(spark, sf, "doc_id", "text").select(
         "doc_id", framed_size(F.col("text").cast("binary")).alias("framed_bytes")
     )
-    budget = half_of(sized, F.col("framed_bytes"))
-    return ordering.within_budget(sized, "doc_id", F.col("framed_bytes"), budget)
+    sized = materialized(sized, "sizes")
+    size = F.col("framed_bytes")
+    return ordering.within_budget(sized, "doc_id", size, half_of(sized, size))
 
 
 @query
@@ -343,12 +344,13 @@ def near_duplicate_flips(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def near_duplicate_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    base = redundancy.split_blocks(documents(spark, sf, "doc_id", "text"), "text", ["doc_id"], OVERLAP_BLOCK)
+    table = spread(documents(spark, sf, "doc_id", "text"))
+    base = redundancy.split_blocks(table, "text", ["doc_id"], OVERLAP_BLOCK)
     base = base.where("block_no IS NOT NULL").select("doc_id", redundancy.fingerprint(F.col("block")).alias("fp"))
     varied = _variants(spark, sf).select("doc_id", F.col("variant").cast("bigint").alias("variant"), "flipped")
     pieces = redundancy.split_blocks(varied, "flipped", ["doc_id", "variant"], OVERLAP_BLOCK)
     pieces = pieces.select("doc_id", "variant", redundancy.fingerprint(F.col("block")).alias("fp"))
-    return redundancy.variant_overlap(base, pieces, "doc_id", "variant")
+    return redundancy.variant_overlap(base, pieces, "doc_id", "variant", replicate.VARIANTS)
 
 
 @query
@@ -379,7 +381,8 @@ def block_dedup_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def line_dedup_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return redundancy.block_statistics(documents(spark, sf, "source", "text"), "source", "text", None)
+    table = spread(documents(spark, sf, "source", "text"))
+    return redundancy.block_statistics(table, "source", "text", None)
 
 
 @query
@@ -407,7 +410,8 @@ def dedup_store_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def compression_compare(spark: SparkSession, sf: str) -> DataFrame:
-    return measure.compare(documents(spark, sf, "source", "text"), "source", "text", work_folder(spark, "packs"))
+    table = spread(documents(spark, sf, "source", "text"))
+    return measure.compare(table, "source", "text", work_folder(spark, "packs"))
 
 
 # ---- frames, chunk files, shards, appends -----------------------------------------------------------
@@ -442,8 +446,8 @@ def chunk_files_resumed(spark: SparkSession, sf: str) -> DataFrame:
     """A run stopped by a small budget, then one that goes on after it: the same files as one run."""
     folder = work_folder(spark, "resumed")
     records = _records(spark, sf)
-    size = documents(spark, sf, "text").agg(F.sum(size_of("text") + 8)).first()[0]
-    code.build(spark, records, folder, size // 2, ROWS_PER_CHUNK)
+    half = half_of(documents(spark, sf, "text"), size_of("text") + 8)
+    code.build(spark, records, folder, half, ROWS_PER_CHUNK)
     code.build(spark, records, folder, rows_per_chunk=ROWS_PER_CHUNK)
     return _chunk_rows(spark, folder)
 
@@ -483,7 +487,7 @@ def _line_counts(lines: DataFrame, column: str) -> DataFrame:
 
 
 def _tokenized(spark: SparkSession, sf: str) -> DataFrame:
-    return batches.tokenize(documents(spark, sf, "doc_id", "text"), "text")
+    return batches.tokenize(spread(documents(spark, sf, "doc_id", "text")), "text")
 
 
 def _joined(column: str) -> Column:

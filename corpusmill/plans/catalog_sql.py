@@ -171,7 +171,7 @@ SQL: dict[str, str] = {
     "byte_budget_prefix": """WITH s AS (SELECT doc_id, strlen(text) + 8 AS framed_bytes FROM documents),
         r AS (SELECT *, CAST(coalesce(sum(framed_bytes) OVER (ORDER BY doc_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before_bytes FROM s)
-        SELECT doc_id, framed_bytes, before_bytes FROM r WHERE before_bytes < (SELECT sum(framed_bytes) // 2 FROM s)""",
+        SELECT doc_id, framed_bytes FROM r WHERE before_bytes < (SELECT sum(framed_bytes) // 2 FROM s)""",
     "byte_prefix_cut": """WITH s AS (SELECT doc_id, hex(encode(text)) || '0A' AS h FROM documents),
         r AS (SELECT doc_id, h, CAST(coalesce(sum(strlen(h) // 2) OVER (ORDER BY doc_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b FROM s),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,12 +48,21 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder, so that a lost executor does not lose the rows."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+def ship_package() -> None:
+    """Let this package's Python helpers travel with the job instead of being installed on executors."""
+    import corpusmill
+
+    cloudpickle.register_pickle_by_value(corpusmill)
+
+
+def materialized(df: DataFrame, name: str = "table") -> DataFrame:
+    """The rows written once to the shared folder and read back.
+
+    Later uses neither recompute them nor depend on executors that held them.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

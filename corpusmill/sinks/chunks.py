@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -29,6 +28,7 @@ from pyspark.sql.types import StructType
 from corpusmill.functions import names
 from corpusmill.functions.frames import HEADER_BYTES, frame
 from corpusmill.operators import ordering
+from corpusmill.session import ship_package
 
 FORMAT = "framed_chunks"
 MANIFEST = "_manifest"
@@ -166,10 +166,8 @@ class FramedChunks(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known; its small Python part travels with the job, not with the installation."""
-    import corpusmill
-
-    cloudpickle.register_pickle_by_value(corpusmill)
+    """Make the format known to the session."""
+    ship_package()
     spark.dataSource.register(FramedChunks)
 
 
