@@ -37,16 +37,18 @@ def truncate_bytes(text: Column, limit: int = MAX_ARTICLE_BYTES) -> Column:
 def encodable_bytes(text: Column) -> Column:
     """UTF-8 bytes of a string; malformed sequences are dropped.
 
-    ``make_valid_utf8`` marks malformed sequences with U+FFFD, so the text is first split on the
-    U+FFFD characters it rightfully holds.
+    ``make_valid_utf8`` marks malformed sequences with U+FFFD. U+FFFD characters the text rightfully
+    holds are escaped meanwhile; ``replace`` works on bytes and leaves malformed ones alone.
     """
-    cleaned = F.array_join(
-        F.transform(
-            F.split(text, REPLACEMENT_CHARACTER, -1),
-            lambda part: F.replace(F.make_valid_utf8(part), F.lit(REPLACEMENT_CHARACTER), F.lit("")),
-        ),
-        REPLACEMENT_CHARACTER,
-    )
+
+    def swapped(column: Column, *pairs: tuple[str, str]) -> Column:
+        for old, new in pairs:
+            column = F.replace(column, F.lit(old), F.lit(new))
+        return column
+
+    escaped = swapped(text, ("\x01", "\x01a"), (REPLACEMENT_CHARACTER, "\x01b"))
+    dropped = swapped(F.make_valid_utf8(escaped), (REPLACEMENT_CHARACTER, ""))
+    cleaned = swapped(dropped, ("\x01b", REPLACEMENT_CHARACTER), ("\x01a", "\x01"))
     return F.when(F.is_valid_utf8(text), text).otherwise(cleaned).cast("binary")
 
 

@@ -33,35 +33,59 @@ RULES: tuple[tuple[str, str, str], ...] = (
     ("whitespace", r"\s+", " "),
 )
 
+
+
+def _unfinished(opening: str, rest: str) -> str:
+    """An alternative that keeps an opening and the rest up to where another attempt is worthwhile.
+
+    ``rest`` is looked at before the opening is captured again from behind: Java does not undo captures
+    made inside a lookbehind, so nothing may fail after them.
+    """
+    return f"(?={rest})(?<=({opening}))({rest})"
+
+
 # The same rules in the single-pass form described above. Each begins with its literal opening, which is
-# what the engine looks for fastest; a lookbehind captures the opening again where it must be kept.
+# what the engine looks for fastest.
 _LINEAR: dict[str, tuple[str, str]] = {
-    "templates": (r"\{\{(?:[^}]*+\}\}|(?<=(\{\{))([^}]*+(?:\}(?!\})|\z)))", "$1$2"),
+    "templates": (
+        r"\{\{(?:[^}]*+\}\}|" + _unfinished(r"\{\{", r"[^}]*+(?:\}(?!\})|\z)") + ")",
+        "$1$2",
+    ),
     "file links": (
-        r"\[\[(?:(?:File|Image):[^\]]*+\]\]|(?<=(\[\[))((?:File|Image):[^\]]*+(?:\](?!\])|\z)))",
+        r"\[\[(?:(?:File|Image):[^\]]*+\]\]|"
+        + _unfinished(r"\[\[", r"(?:File|Image):[^\]]*+(?:\](?!\])|\z)")
+        + ")",
         "$1$2",
     ),
     "piped links": (
-        r"\[\[(?:[^|\]]++\|([^\]]++)\]\]|(?<=(\[\[))((?!\|)[^\]]*+(?:\]|\z)))",
+        r"\[\[(?:[^|\]]++\|([^\]]++)\]\]|" + _unfinished(r"\[\[", r"(?!\|)[^\]]*+(?:\]|\z)") + ")",
+        "$1$2$3",
+    ),
+    "simple links": (
+        r"\[\[(?:([^\]]++)\]\]|" + _unfinished(r"\[\[", r"[^\]]*+(?:\]|\z)") + ")",
         "$1$2$3",
     ),
-    "simple links": (r"\[\[(?:([^\]]++)\]\]|(?<=(\[\[))([^\]]*+(?:\]|\z)))", "$1$2$3"),
-    "comments": (r"<!--(?:.*?-->|(?<=(<!--))([^\n]*+))", "$1$2"),
+    "comments": (r"<!--(?:.*?-->|" + _unfinished("<!--", r"[^\n]*+") + ")", "$1$2"),
     "labelled external links": (
-        r"\[http(?:s?://[^\s\]]++ ([^\]]++)\]|(?<=(\[http))(s?://[^\s\]]++ [^\]]++\z))",
+        r"\[http(?:s?://[^\s\]]++ ([^\]]++)\]|"
+        + _unfinished(r"\[http", r"s?://[^\s\]]++(?: [^\]]++\z)?+")
+        + ")",
         "$1$2$3",
     ),
     "bare external links": (
-        r"\[http(?:s?://[^\s\]]++\]|(?<=(\[http))(s?://[^\s\]]++))",
+        r"\[http(?:s?://[^\s\]]++\]|" + _unfinished(r"\[http", r"s?://[^\s\]]++") + ")",
         "$1$2",
     ),
     "headings": (r"=(?<!==)=*+(?:\s*+([^=\s][^=]*+)|\s*(\s))=++", "$1$2"),
     "paired references": (
-        r"<ref(?:[^>]*+>.*?</ref>|(?<=(<ref))([^>]*+(?:>(?:[^\n]*>)?+|\z)))",
+        r"<ref(?:[^>]*+>.*?</ref>|" + _unfinished("<ref", r"[^>]*+(?:>(?:[^\n]*>)?+|\z)") + ")",
+        "$1$2",
+    ),
+    "closed references": (
+        r"<ref(?:[^>]*/\s*>|" + _unfinished("<ref", r"[^>]*+(?:>|\z)") + ")",
         "$1$2",
     ),
-    "closed references": (r"<ref(?:[^>]*/\s*>|(?<=(<ref))([^>]*+(?:>|\z)))", "$1$2"),
-    "tags": (r"<(?:[^>]++>|(?<=(<))([^>]*+\z))", "$1$2"),
+    "tags": (r"<(?:[^>]++>|" + _unfinished("<", r"[^>]*+\z") + ")", "$1$2"),
     # A lone space is left as it is instead of being replaced by itself.
     "whitespace": (r"\s(?:\s++|(?<! ))", " "),
 }

@@ -31,6 +31,7 @@ ROWS_PER_BATCH = 8
 FRAME_OVERHEAD = 8
 MILESTONE_ROWS = 100
 
+MAX_WINDOW_ROWS = 1 << 20  # a window without partitions gets no more rows than this
 DENSE_KEY = (16, 36)  # record positions: neighbours share a bucket
 HASH_KEY = (28, 40)  # 52-bit hashes: 2**24 buckets, filled evenly
 
@@ -56,8 +57,12 @@ def _bucket_totals(df: DataFrame, key: str, costs: dict[str, Column], fine: int)
 def _bucket_offsets(per_bucket: DataFrame, costs: Iterable[str], shift: int) -> DataFrame:
     """The bucket totals with ``_o_<name>``, the total before each bucket.
 
-    Totals are first summed over groups of 2**shift buckets, so that no window holds more than that.
+    Up to 2**20 of these small rows are one window. Beyond that totals are first summed over groups of
+    2**shift buckets, so that no window holds more than one group's.
     """
+    if per_bucket.count() <= MAX_WINDOW_ROWS:
+        earlier = W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+        return per_bucket.withColumns({f"_o_{n}": F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)) for n in costs})
     grouped = per_bucket.withColumn("_g", F.shiftright("_b", shift))
     groups = grouped.groupBy("_g").agg(*[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in costs])
     all_earlier = W.partitionBy(F.lit(0)).orderBy("_g").rowsBetween(W.unboundedPreceding, -1)
@@ -116,21 +121,23 @@ def with_position(
     """
     fine, coarse = shifts
     costs = {"rows": F.lit(1)}
+    if tie:
+        return running_totals(df, key, costs, tie, shifts).withColumnRenamed("before_rows", name)
     per_bucket = _bucket_totals(df, key, costs, fine)
     offsets = _bucket_offsets(per_bucket, costs, coarse - fine)
-    full = F.lit(False) if tie else F.col("_last") - F.col("_first") + 1 == F.col("_n")
+    full = F.col("_last") - F.col("_first") + 1 == F.col("_n")
     lookup = offsets.where(full).select("_b", "_first", "_o_rows")
     ranked = (
         df.withColumn("_b", F.shiftright(F.col(key).cast("bigint"), fine))
         .join(lookup, "_b")
         .select(*df.columns, (F.col("_o_rows") + F.col(key) - F.col("_first")).alias(name))
     )
-    gaps = per_bucket.where(~full)
-    if gaps.isEmpty():
-        return ranked
     gapped = offsets.where(~full).select("_b", "_o_rows")
     ordered = _totals_in_buckets(df, key, costs, tie, fine, gapped).withColumnRenamed("before_rows", name)
-    return ordered if tie or per_bucket.where(full).isEmpty() else ranked.unionByName(ordered)
+    buckets = per_bucket.agg(F.count_if(full).alias("full"), F.count_if(~full).alias("gapped")).first()
+    if buckets["gapped"] == 0:
+        return ranked
+    return ordered if buckets["full"] == 0 else ranked.unionByName(ordered)
 
 
 @dataclass(frozen=True)
@@ -147,16 +154,17 @@ def budget_cut(df: DataFrame, key: str, cost: Column, budget: int) -> Cut | None
     Bucket totals name the one bucket in which that happens; only its rows are ordered.
     """
     fine, coarse = DENSE_KEY
-    costs = {"bytes": cost}
-    offsets = _bucket_offsets(_bucket_totals(df, key, costs, fine), costs, coarse - fine)
+    sized = df.select(F.col(key).cast("bigint").alias("key"), cost.cast("bigint").alias("bytes"))
+    costs = {"bytes": F.col("bytes")}
+    offsets = _bucket_offsets(_bucket_totals(sized, "key", costs, fine), costs, coarse - fine)
     last = offsets.where(F.col("_o_bytes") < budget).orderBy(F.desc("_b")).limit(1).first()
     if last is None:
         return None
-    inside = df.where(F.col(key).between(last["_first"], last["_last"]))
-    earlier = W.partitionBy(F.lit(0)).orderBy(key).rowsBetween(W.unboundedPreceding, -1)
-    before = F.lit(last["_o_bytes"]) + F.coalesce(F.sum(cost.cast("bigint")).over(earlier), F.lit(0))
+    inside = sized.where(F.col("key").between(last["_first"], last["_last"]))
+    earlier = W.partitionBy(F.lit(0)).orderBy("key").rowsBetween(W.unboundedPreceding, -1)
+    before = F.lit(last["_o_bytes"]) + F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
     found = (
-        inside.select(F.col(key).alias("key"), before.alias("before"))
+        inside.select("key", before.alias("before"))
         .where(F.col("before") < budget)
         .orderBy(F.desc("key"))
         .limit(1)

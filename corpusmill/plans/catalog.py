@@ -403,11 +403,19 @@ def stats_json(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dedup_store_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "store")
-    store.write_store(documents(spark, sf, "doc_id", "text"), "doc_id", "text", folder, SMALL_BLOCK)
+    store.write_store(spread(documents(spark, sf, "doc_id", "text")), "doc_id", "text", folder, SMALL_BLOCK)
     back = store.restored_records(spark, folder, "doc_id")
     return back.select("doc_id", size_of("content").alias("n_bytes"), F.md5("content").alias("digest"))
 
 
+@query
+def dedup_group_stores(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_folder(spark, "stores")
+    table = spread(documents(spark, sf, "source", "doc_id", "text"))
+    store.write_group_stores(table, "source", "doc_id", "text", folder, SMALL_BLOCK)
+    return store.group_store_sizes(spark, folder, "source")
+
+
 @query
 def compression_compare(spark: SparkSession, sf: str) -> DataFrame:
     table = spread(documents(spark, sf, "source", "text"))

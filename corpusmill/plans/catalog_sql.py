@@ -247,6 +247,7 @@ SQL: dict[str, str] = {
     "planted_dedup_stats": fixed_stats(BLOCK_BYTES, replicate.COPIES + 1),
     "stats_json": fixed_stats(BLOCK_BYTES),
     "dedup_store_round_trip": "SELECT doc_id, strlen(text) AS n_bytes, md5(text) AS digest FROM documents",
+    "dedup_group_stores": f"SELECT grp, unique_blocks, stored_bytes FROM ({fixed_stats(c.SMALL_BLOCK)})",
     "frame_records": """WITH d AS (SELECT doc_id, text, printf('%016X', strlen(text)) AS n FROM documents)
         SELECT doc_id, substr(n, 15, 2) || substr(n, 13, 2) || substr(n, 11, 2) || substr(n, 9, 2) || substr(n, 7, 2)
           || substr(n, 5, 2) || substr(n, 3, 2) || substr(n, 1, 2) || hex(encode(text)) AS frame FROM d""",

@@ -26,13 +26,34 @@ def write_store(df: DataFrame, key: str, data: str, path: str, block_bytes: int
     marked.select(key, "block_no", "fp").write.parquet(f"{path}/recipe")
 
 
-def read_store(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/blocks"), spark.read.parquet(f"{path}/recipe")
+def write_group_stores(df: DataFrame, group: str, key: str, data: str, path: str, block_bytes: int | None = BLOCK_BYTES) -> None:
+    """One store per group below ``parts/<group>=...`` and one for everything below ``whole``.
+
+    A block shared by groups is stored in each of their stores, but once in the whole.
+    """
+    blocks = split_blocks(df, data, [group, key], block_bytes).where("block_no IS NOT NULL")
+    marked = blocks.withColumn("fp", fingerprint(F.col("block")))
+    (
+        marked.groupBy(group, "fp")
+        .agg(F.first("block").alias("block"), F.count("*").alias("uses"))
+        .write.partitionBy(group)
+        .parquet(f"{path}/parts/blocks")
+    )
+    marked.select(group, key, "block_no", "fp").write.partitionBy(group).parquet(f"{path}/parts/recipe")
+    write_store(df, key, data, f"{path}/whole", block_bytes)
+
+
+def group_store_sizes(spark: SparkSession, path: str, group: str, overall: str = "ALL") -> DataFrame:
+    """(grp, unique_blocks, stored_bytes) of the stores of ``write_group_stores``."""
+    size = F.octet_length("block").cast("bigint")
+    held = [F.count("*").alias("unique_blocks"), F.sum(size).alias("stored_bytes")]
+    parts = spark.read.parquet(f"{path}/parts/blocks").groupBy(F.col(group).alias("grp")).agg(*held)
+    whole = read_store(spark, f"{path}/whole")[0].agg(*held)
+    return parts.unionByName(whole.select(F.lit(overall).alias("grp"), "unique_blocks", "stored_bytes"))
 
 
-def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
-    blocks, _ = read_store(spark, path)
-    return blocks.agg(F.sum(F.octet_length("block").cast("bigint")).alias("stored_bytes"))
+def read_store(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{path}/blocks"), spark.read.parquet(f"{path}/recipe")
 
 
 def restored_blocks(spark: SparkSession, path: str, key: str) -> DataFrame:
