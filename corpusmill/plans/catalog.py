@@ -475,6 +475,7 @@ def sharded_json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), F.col("text").alias("markup")
     )
     cleaned = mediawiki.clean_articles(spread(table), "markup").withColumn("_key", jsonl.numeric_key("id"))
+    cleaned = materialized(cleaned, "articles")
     jsonl.write_shards(cleaned, folder, "_key", ("id",), **SHARD_LAYOUT)
     return jsonl.read_shards(spark, folder).select("dir", "file", "id", "title", F.md5("text").alias("digest"))
 

@@ -114,7 +114,7 @@ class Build:
             f"{folder}/file={replicate.BASE_NAME}"
         )
         copies = replicate.exact_copies(self._base).where("copy > 0").select("file", "pos", "piece")
-        copies.write.mode("append").partitionBy("file").parquet(folder)
+        copies.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(folder)
         return True
 
     def _near_duplicates(self) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.session import spread
+from corpusmill.session import materialized, spread
 from corpusmill.sinks import jsonl
 from corpusmill.sources import mediawiki
 
@@ -17,10 +17,14 @@ def extract(spark: SparkSession, dump: str) -> DataFrame:
     )
 
 
-def build(spark: SparkSession, dump: str, out: str) -> None:
-    """Shards are numbered by page id, so a repeated run writes the same files."""
-    articles = extract(spark, dump).withColumn("_key", jsonl.numeric_key("id"))
-    jsonl.write_shards(articles, out, "_key", ("id",))
+def build(spark: SparkSession, dump: str, out: str, mode: str = "overwrite") -> None:
+    """Shards are numbered by page id, so a repeated run writes the same records to the same shards.
+
+    The articles are written down once before they are numbered: parsing and cleaning cost far more than
+    reading them back.
+    """
+    articles = materialized(extract(spark, dump).withColumn("_key", jsonl.numeric_key("id")), "articles")
+    jsonl.write_shards(articles, out, "_key", ("id",), mode=mode)
 
 
 def clean_table(table: DataFrame, markup: str) -> DataFrame:
