@@ -1,196 +1,126 @@
-"""Chunk files of length-prefixed records, as a Spark data source.
+"""Chunk files of length-prefixed records.
 
 Each chunk is written by one task under a temporary name and renamed when complete, so a lost executor
-leaves no partial chunk and a retried task replaces its file by the same bytes. What was written becomes
-part of the manifest only when the whole job commits; resuming reads the manifest, never a side counter.
+leaves no partial chunk and a retried task replaces its file by the same bytes. The writing tasks return
+what they wrote, and Spark commits those rows as the manifest when the whole job has succeeded; resuming
+reads the manifest, never a side counter.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceArrowWriter,
-    DataSourceReader,
-    InputPartition,
-    WriterCommitMessage,
-)
-from pyspark.sql.types import StructType
 
 from corpusmill.functions import names
 from corpusmill.functions.frames import HEADER_BYTES, frame
 from corpusmill.operators import ordering
 from corpusmill.session import ship_package
+from corpusmill.sources import files
 
-FORMAT = "framed_chunks"
 MANIFEST = "_manifest"
 MANIFEST_SCHEMA = "chunk BIGINT, records BIGINT, bytes BIGINT, first_pos BIGINT, last_pos BIGINT"
+RECORD_SCHEMA = "chunk_file STRING, row_in_chunk BIGINT, content BINARY"
+CHUNK_GLOB = "stream_*.bin"
 READ_BATCH_BYTES = 8 << 20
 
 
-@dataclass
-class _Written(WriterCommitMessage):
-    staged: str | None
-
-
-@dataclass
-class _ChunkFile(InputPartition):
-    path: str
-
-
-def _replace(files: pafs.FileSystem, staged: str, final: str) -> None:
+def _replace(target: pafs.FileSystem, staged: str, final: str) -> None:
     try:
-        files.move(staged, final)
+        target.move(staged, final)
     except OSError:  # a file system that does not rename over an existing file
-        files.delete_file(final)
-        files.move(staged, final)
-
+        target.delete_file(final)
+        target.move(staged, final)
 
-class _ChunkWriter(DataSourceArrowWriter):
-    """Expects (chunk, pos, name, frame), each chunk whole and in order within one task."""
 
-    def __init__(self, path: str):
-        self.path = path
+def _writer(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Writes (chunk, pos, name, frame), each chunk whole and in order; returns manifest rows."""
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        files, root = pafs.FileSystem.from_uri(self.path)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = pafs.FileSystem.from_uri(path)
+        target.create_dir(root, recursive=True)
         attempt = uuid.uuid4().hex
-        done: list[dict] = []
-        out, entry, staged = None, None, ""
+        out, entry, name, staged = None, {}, "", ""
 
-        def finish() -> None:
+        def finish() -> pa.RecordBatch:
             out.close()
-            _replace(files, staged, f"{root}/{entry.pop('name')}")
-            done.append(entry)
+            _replace(target, staged, f"{root}/{name}")
+            return pa.RecordBatch.from_pylist([entry])
 
-        for batch in iterator:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                chunk, pos, name, record = row
-                if entry is None or chunk != entry["chunk"]:
+        for batch in batches:
+            labels = (batch.column(i).to_pylist() for i in range(3))
+            for chunk, pos, label, scalar in zip(*labels, batch.column(3)):
+                if chunk != entry.get("chunk"):
                     if out is not None:
-                        finish()
-                    staged = f"{root}/.{name}.{attempt}"
-                    out = files.open_output_stream(staged)
-                    entry = {"chunk": chunk, "name": name, "records": 0, "bytes": 0, "first_pos": pos}
+                        yield finish()
+                    name, staged = label, f"{root}/.{label}.{attempt}"
+                    out = target.open_output_stream(staged)
+                    entry = {"chunk": chunk, "records": 0, "bytes": 0, "first_pos": pos, "last_pos": pos}
+                record = scalar.as_buffer()
                 out.write(record)
-                entry["records"] += 1
-                entry["bytes"] += len(record)
-                entry["last_pos"] = pos
-        if out is None:
-            return _Written(None)
-        finish()
-        manifest = f"{root}/{MANIFEST}/.{attempt}"
-        with files.open_output_stream(manifest) as sink:
-            sink.write("".join(json.dumps(e) + "\n" for e in done).encode())
-        return _Written(manifest)
-
-    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        files, root = pafs.FileSystem.from_uri(self.path)
-        for message in messages:
-            if message is not None and message.staged:
-                name = message.staged.rsplit("/.", 1)[1]
-                files.move(message.staged, f"{root}/{MANIFEST}/part-{name}.json")
-
-
-class _ChunkReader(DataSourceReader):
-    """One partition per chunk file; records are read one after another, in bounded batches."""
-
-    def __init__(self, path: str):
-        self.path = path
-
-    def partitions(self) -> list[InputPartition]:
-        files, root = pafs.FileSystem.from_uri(self.path)
-        found = files.get_file_info(pafs.FileSelector(root, recursive=True))
-        return [_ChunkFile(f.path) for f in found if f.base_name.startswith("stream_") and f.extension == "bin"]
-
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        if partition is None:
-            return
-        files, root = pafs.FileSystem.from_uri(self.path)
-        name = partition.path.removeprefix(root).lstrip("/")
-        first, held, contents = 0, 0, []
-
-        def batch() -> pa.RecordBatch:
-            rows = range(first, first + len(contents))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name] * len(contents), pa.string()),
-                    pa.array(rows, pa.int64()),
-                    pa.array(contents, pa.binary()),
-                ],
-                names=["chunk_file", "row_in_chunk", "content"],
-            )
-
-        with files.open_input_stream(partition.path) as source:
-            while header := source.read(HEADER_BYTES):
-                if len(header) < HEADER_BYTES:
-                    raise ValueError(f"{name}: truncated record header")
-                size = int.from_bytes(header, "little")
-                content = source.read(size)
-                if len(content) < size:
-                    raise ValueError(f"{name}: truncated record")
-                contents.append(content)
-                held += size
-                if held >= READ_BATCH_BYTES:
-                    yield batch()
-                    first, held, contents = first + len(contents), 0, []
-        if contents:
-            yield batch()
-
-
-class FramedChunks(DataSource):
-    """``spark.read / df.write.format("framed_chunks")`` over a folder of ``stream_NNNNN.bin`` files."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> str:
-        return "chunk_file STRING, row_in_chunk BIGINT, content BINARY"
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _ChunkReader(self.options["path"])
-
-    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        files, root = pafs.FileSystem.from_uri(self.options["path"])
-        files.create_dir(f"{root}/{MANIFEST}", recursive=True)
-        return _ChunkWriter(self.options["path"])
-
-
-def register(spark: SparkSession) -> None:
-    """Make the format known to the session."""
-    ship_package()
-    spark.dataSource.register(FramedChunks)
+                entry |= {"records": entry["records"] + 1, "bytes": entry["bytes"] + len(record), "last_pos": pos}
+        if out is not None:
+            yield finish()
+
+    return write
+
+
+def _reader(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Reads the named files record by record, in batches of bounded size."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, root = pafs.FileSystem.from_uri(path)
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                source, location = pafs.FileSystem.from_uri(uri)
+                name = location.removeprefix(root).lstrip("/")
+                with source.open_input_stream(location) as stream:
+                    yield from records(stream, name)
+
+    def records(stream: pa.NativeFile, name: str) -> Iterator[pa.RecordBatch]:
+        row, held, rows = 0, 0, []
+        while header := stream.read(HEADER_BYTES):
+            size = int.from_bytes(header, "little")
+            content = stream.read(size) if len(header) == HEADER_BYTES else b""
+            if len(header) < HEADER_BYTES or len(content) < size:
+                raise ValueError(f"{name}: truncated record {row}")
+            rows.append({"chunk_file": name, "row_in_chunk": row, "content": content})
+            row, held = row + 1, held + size
+            if held >= READ_BATCH_BYTES:
+                yield pa.RecordBatch.from_pylist(rows)
+                held, rows = 0, []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows)
+
+    return read
 
 
 def write_chunks(
     df: DataFrame, path: str, content: str = "content", pos: str = "pos", rows_per_chunk: int = ordering.ROWS_PER_CHUNK
 ) -> None:
     """Frame the binary ``content`` and write one file per chunk of consecutive positions."""
-    register(df.sparkSession)
+    ship_package()
     chunk = ordering.chunk_columns(pos, rows_per_chunk)["chunk"]
-    (
+    framed = (
         df.select(chunk.alias("chunk"), F.col(pos).cast("bigint").alias("pos"), F.col(content).alias("_content"))
         .repartition("chunk")
         .sortWithinPartitions("chunk", "pos")
         .select("chunk", "pos", names.chunk_name(F.col("chunk")).alias("name"), frame(F.col("_content")).alias("frame"))
-        .write.format(FORMAT)
-        .mode("append")
-        .save(path)
     )
+    framed.mapInArrow(_writer(path), MANIFEST_SCHEMA).write.mode("append").json(f"{path}/{MANIFEST}")
 
 
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    register(spark)
-    return spark.read.format(FORMAT).load(path)
+    """(chunk_file, row_in_chunk, content) of all chunks below a folder; one task reads a whole file."""
+    ship_package()
+    found = files.inventory(spark, path, CHUNK_GLOB).select("path")
+    return found.repartition("path").mapInArrow(_reader(path), RECORD_SCHEMA)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -210,13 +140,10 @@ class ResumePoint:
 
 def resume_point(spark: SparkSession, path: str, rows_per_chunk: int = ordering.ROWS_PER_CHUNK) -> ResumePoint:
     """The start of the first chunk that is not complete: that chunk is written again as a whole."""
-    files, root = pafs.FileSystem.from_uri(path)
-    if files.get_file_info(f"{root}/{MANIFEST}").type == pafs.FileType.NotFound:
+    try:
+        manifest = read_manifest(spark, path)
+    except AnalysisException:  # nothing was committed yet
         return ResumePoint(0, 0)
-    row = (
-        read_manifest(spark, path)
-        .where(F.col("records") == rows_per_chunk)
-        .agg(F.max("last_pos").alias("last"), F.sum("bytes").alias("bytes"))
-        .first()
-    )
+    complete = manifest.where(F.col("records") == rows_per_chunk)
+    row = complete.agg(F.max("last_pos").alias("last"), F.sum("bytes").alias("bytes")).first()
     return ResumePoint(0, 0) if row["last"] is None else ResumePoint(row["last"] + 1, row["bytes"])

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusmill.functions import names
+from corpusmill.session import materialized
 
 PATHS_SAMPLED = 100  # fixed value
 
@@ -33,7 +34,7 @@ def read_lines(spark: SparkSession, *paths: str, tolerant: bool = False) -> Data
 
 
 def split_offsets(lines: DataFrame) -> DataFrame:
-    """One row per split: lines and bytes before it in the stream, and its own."""
+    """One row per split: lines and bytes before it in the stream, and its own. Written down once."""
     splits = lines.groupBy("file", "block").agg(
         F.count("*").alias("n_lines"),
         F.sum(F.octet_length("value") + F.lit(1).cast("bigint")).alias("n_bytes"),
@@ -48,7 +49,7 @@ def split_offsets(lines: DataFrame) -> DataFrame:
         F.coalesce(F.sum("b").over(earlier_files), F.lit(0)).alias("fb"),
     )
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    return splits.join(starts, "file").select(
+    offsets = splits.join(starts, "file").select(
         "file",
         "block",
         "first_seq",
@@ -57,6 +58,7 @@ def split_offsets(lines: DataFrame) -> DataFrame:
         (F.col("fl") + F.coalesce(F.sum("n_lines").over(earlier), F.lit(0))).alias("lines_before"),
         (F.col("fb") + F.coalesce(F.sum("n_bytes").over(earlier), F.lit(0))).alias("bytes_before"),
     )
+    return materialized(offsets, "split-offsets")
 
 
 def with_line_position(lines: DataFrame) -> DataFrame:
