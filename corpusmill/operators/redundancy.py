@@ -6,10 +6,13 @@ makes up a third of the data arrives at the shuffle as one row per input task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 4096
+VARIANT_BITS = 62
 
 
 def fixed_blocks(data: Column, block_bytes: int = BLOCK_BYTES) -> Column:
@@ -114,33 +117,37 @@ def block_statistics(
 def variant_overlap(base: DataFrame, variants: DataFrame, key: str, variant: str, n: int) -> DataFrame:
     """Jaccard overlap of each variant's distinct blocks with those of the record it was made from.
 
-    Both inputs hold (key, fp), ``variants`` also the variant's number from 1 to ``n`` (at most 62).
-    Pairs come from the planting itself, so no pair of records is ever formed: one aggregate notes for
-    every block which variants hold it, as bits, and whether the base does, as bit 0.
+    Both inputs hold (key, fp), ``variants`` also the variant's number from 1 to ``n``. Pairs come from
+    the planting itself, so no pair of records is ever formed: one aggregate notes for every block which
+    variants hold it, as bits, and whether the base does, as bit 0. A number has room for 62 variants;
+    further ones are counted in further rounds.
     """
-    bit = F.expr(f"shiftleft(1L, CAST({variant} AS INT))")
+    rounds = [
+        _overlap_round(base, variants, key, variant, first, min(first + VARIANT_BITS, n + 1))
+        for first in range(1, n + 1, VARIANT_BITS)
+    ]
+    either = F.col("base_blocks") + F.col("variant_blocks") - F.col("shared_blocks")
+    return reduce(DataFrame.unionByName, rounds).withColumn("jaccard", F.round(F.col("shared_blocks") / either, 6))
+
+
+def _overlap_round(base: DataFrame, variants: DataFrame, key: str, variant: str, first: int, end: int) -> DataFrame:
+    bit = F.expr(f"shiftleft(1L, CAST({variant} - {first - 1} AS INT))")
+    inside = variants.where(F.col(variant).between(first, end - 1))
     held = base.select(key, "fp", F.lit(1).cast("bigint").alias("_bit")).unionByName(
-        variants.select(key, "fp", bit.alias("_bit"))
+        inside.select(key, "fp", bit.alias("_bit"))
     )
     held = held.groupBy(key, "fp").agg(F.bit_or("_bit").alias("_bits"))
 
     def holds(number: int) -> Column:
         return F.getbit("_bits", F.lit(number)).cast("bigint")
 
-    counts = held.groupBy(key).agg(
-        F.sum(holds(0)).alias("base_blocks"),
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).cast("bigint").alias(variant),
-                    F.sum(holds(i)).alias("variant_blocks"),
-                    F.sum(holds(0) * holds(i)).alias("shared_blocks"),
-                )
-                for i in range(1, n + 1)
-            ]
-        ).alias("_variants"),
-    )
-    either = F.col("base_blocks") + F.col("variant_blocks") - F.col("shared_blocks")
-    return counts.select(key, "base_blocks", F.inline("_variants")).withColumn(
-        "jaccard", F.round(F.col("shared_blocks") / either, 6)
-    )
+    per_variant = [
+        F.struct(
+            F.lit(number).cast("bigint").alias(variant),
+            F.sum(holds(number - first + 1)).alias("variant_blocks"),
+            F.sum(holds(0) * holds(number - first + 1)).alias("shared_blocks"),
+        )
+        for number in range(first, end)
+    ]
+    counts = held.groupBy(key).agg(F.sum(holds(0)).alias("base_blocks"), F.array(*per_variant).alias("_variants"))
+    return counts.select(key, "base_blocks", F.inline("_variants"))

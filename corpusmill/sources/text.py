@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusmill.functions import names
+from corpusmill.operators import ordering
 from corpusmill.session import materialized
 
 PATHS_SAMPLED = 100  # fixed value
@@ -69,27 +70,9 @@ def with_line_position(lines: DataFrame) -> DataFrame:
     )
 
 
-def head_bytes(lines: DataFrame, n_bytes: int | Column) -> DataFrame:
-    """The stream's first ``n_bytes`` as ordered pieces (pos, piece), newlines included.
-
-    Splits wholly inside pass through; running totals are needed in the one split the cut falls into.
-    """
-    bound = n_bytes if isinstance(n_bytes, Column) else F.lit(n_bytes)
-    placed = lines.join(split_offsets(lines), ["file", "block"]).where(F.col("bytes_before") < bound)
-    line = F.concat(F.col("value").cast("binary"), F.lit(b"\n"))
-    pos = F.col("lines_before") + F.col("seq") - F.col("first_seq")
-    ends_inside = F.col("bytes_before") + F.col("n_bytes") <= bound
-    whole = placed.where(ends_inside).select(pos.alias("pos"), line.alias("piece"))
-    earlier = W.partitionBy("file", "block").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    size = F.octet_length("value") + F.lit(1).cast("bigint")
-    cut = placed.where(~ends_inside).withColumn(
-        "before", F.col("bytes_before") + F.coalesce(F.sum(size).over(earlier), F.lit(0))
-    )
-    room = F.least(bound - F.col("before"), size).cast("int")
-    cut = cut.where(F.col("before") < bound).select(
-        pos.alias("pos"), F.substring(line, F.lit(1), room).alias("piece")
-    )
-    return whole.unionByName(cut)
+def head_bytes(lines: DataFrame, n_bytes: int) -> DataFrame:
+    """The stream's first ``n_bytes`` as ordered pieces (pos, piece), newlines included."""
+    return ordering.byte_prefix(with_line_position(lines), "pos", "value", n_bytes).select("pos", "piece")
 
 
 def path_list(lines: DataFrame, prefix: str, n: int = PATHS_SAMPLED) -> DataFrame:

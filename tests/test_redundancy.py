@@ -95,6 +95,17 @@ def test_near_copies_share_small_blocks_but_no_large_ones(spark):
     assert all(r.shared_blocks <= 1 for r in large)
 
 
+def test_variant_overlap_takes_any_number_of_variants(spark, monkeypatch):
+    monkeypatch.setattr(redundancy, "VARIANT_BITS", 2)
+    base = spark.createDataFrame([(1, b"a"), (1, b"b")], "id BIGINT, fp BINARY")
+    rows = [(1, v, b"a") for v in range(1, 6)] + [(1, 5, b"b"), (1, 4, b"c")]
+    variants = spark.createDataFrame(rows, "id BIGINT, variant BIGINT, fp BINARY")
+    got = redundancy.variant_overlap(base, variants, "id", "variant", 5).orderBy("variant").collect()
+    assert [(r.variant, r.variant_blocks, r.shared_blocks) for r in got] == [
+        (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 2, 1), (5, 2, 2),
+    ]
+
+
 def test_variant_overlap_counts(spark):
     base = spark.createDataFrame([(1, b"a"), (1, b"b"), (1, b"b"), (2, b"a")], "id BIGINT, fp BINARY")
     variants = spark.createDataFrame(
