@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,16 +16,16 @@ def join_per_key(
     per_key: DataFrame,
     key: str,
     weight: str,
-    spread_by: str,
+    spread_by: Sequence[str],
     how: str = "inner",
     hot_keys: int = HOT_KEYS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` with a table holding one row per key, of which ``weight`` is the key's row count.
 
-    The ``hot_keys`` heaviest keys are dealt over ``salts`` partitions by ``spread_by``. The list of hot
-    keys is limited to that number, so broadcasting it is bounded; any other key holds at most
-    1/``hot_keys`` of all rows. Every row is joined exactly once.
+    The ``hot_keys`` heaviest keys are dealt over ``salts`` partitions by the ``spread_by`` columns,
+    which should tell a key's rows apart. The list of hot keys is limited to that number, so broadcasting
+    it is bounded; any other key holds at most 1/``hot_keys`` of all rows. Every row is joined exactly once.
     """
     hot = (
         per_key.where(F.col(weight) > 1)
@@ -31,7 +33,7 @@ def join_per_key(
         .limit(hot_keys)
         .select(key, F.lit(True).alias("_hot"))
     )
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
     salted_rows = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_hot")
     every_salt = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
     salted_keys = (

@@ -60,7 +60,7 @@ def restored_blocks(spark: SparkSession, path: str, key: str) -> DataFrame:
     """(key, block_no, block): every record's blocks, to be written in order. Hot blocks are salted."""
     blocks, recipe = read_store(spark, path)
     used = recipe.where("fp IS NOT NULL")
-    placed = join_per_key(used, blocks, "fp", "uses", key).select(key, "block_no", "block")
+    placed = join_per_key(used, blocks, "fp", "uses", (key, "block_no")).select(key, "block_no", "block")
     empty = recipe.where("fp IS NULL").select(key, F.lit(0).alias("block_no"), F.lit(b"").alias("block"))
     return placed.unionByName(empty)
 

@@ -81,8 +81,7 @@ def path_list(lines: DataFrame, prefix: str, n: int = PATHS_SAMPLED) -> DataFram
     ``lines`` holds (pos, value), as from ``with_line_position``.
     """
     return (
-        lines.orderBy("pos")
-        .limit(n)
+        ordering.first_rows(lines, ["pos"], n)
         .select(
             "pos",
             F.col("value").alias("path"),

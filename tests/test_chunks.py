@@ -98,6 +98,16 @@ def test_non_numeric_identifiers_get_a_place(spark):
     assert keys["7"] == 7 and keys["12"] == 12 and 0 <= keys["x-1"] < 2**52
 
 
+def test_appending_adds_to_what_is_there(spark):
+    text, lines = work_folder(spark, "text"), work_folder(spark, "json")
+    for value in ("a", "b"):
+        frame = spark.createDataFrame([(value,)], "value STRING")
+        append.append_text(frame, text)
+        append.append_json(frame, lines)
+    assert sorted(r.value for r in spark.read.text(text).collect()) == ["a", "b"]
+    assert sorted(r.value for r in spark.read.schema("value STRING").json(lines).collect()) == ["a", "b"]
+
+
 def test_gzip_packs_and_sizes(spark):
     frame = spark.createDataFrame([("a", "x" * 1000), ("b", "y" * 10)], "g STRING, t STRING")
     folder = work_folder(spark, "packs")

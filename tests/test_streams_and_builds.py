@@ -128,9 +128,9 @@ def test_stages_run_once_restart_alone_and_report(spark, inputs):
     before = contents()
     build.restart("append_logs")
     assert build.run() == ["append_logs"]
-    for stage in ("web", "wiki", "code", "hot_duplicates", "near_duplicates"):
+    for stage in ("web", "wiki", "code", "hot_duplicates"):
         build.restart(stage)
-    assert build.run() == ["web", "wiki", "code", "hot_duplicates", "near_duplicates"]
+    assert build.run() == ["web", "wiki", "code", "hot_duplicates"]
     assert contents() == before
     report = {r.category: (r.total_bytes, r.files) for r in build.report().collect()}
     assert report["code"] == (sum(8 + len(f"code {i}") for i in range(40)), 3)
