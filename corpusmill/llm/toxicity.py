@@ -5,7 +5,7 @@
   has, how often and how densely, at shouting and at repeated marks.
 * **Label model.** A latent label makes each voter fire with a probability of its own; expectation maximisation
   estimates the prior and these accuracies from the votes alone, started from the labelled share. Correlations of
-  the voters given the posterior then discount voters that say the same thing, and the posterior is taken again.
+  the voters given the posterior discount, from the first step on, voters that say the same thing.
 * **Classifier.** A logistic regression of the votes and the logarithms of the counts learns the posterior.
 
 Learning is bounded: at most about ``SAMPLE`` labelled rows, chosen by a hash of the id, of which rows with
@@ -34,6 +34,7 @@ SAMPLE, LEXICON, CANDIDATES = 8_000, 100, 5_000
 SHORTEST, LONGEST = 3, 8  # letters of a word's beginning
 LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 5, 0.02, 2.5
 EM_STEPS, SMOOTH = 40, 0.5
+STRONG = 0.5  # correlation from which two voters are taken to say the same thing
 RIDGE = 1e-3
 PATTERNS = ("two_words", "three_words", "two_hits", "dense", "shouting", "marks")
 
@@ -91,8 +92,9 @@ def label_model(votes: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray
         for y, w in ((0, 1 - post), (1, post)):
             fires[y] = (w @ votes + SMOOTH) / (w.sum() + 2 * SMOOTH)
         share = np.clip(post.mean(), 1e-4, 1 - 1e-4)
-        if step == EM_STEPS // 2:
-            weight = 1 / np.maximum(np.abs(correlations(votes, post, fires)).sum(axis=1), 1.0)
+        if step % 5 == 0:
+            corr = correlations(votes, post, fires)
+            weight = 1 / np.maximum(np.where(corr >= STRONG, corr, 0).sum(axis=1), 1.0)
         odds = np.log(fires[1] / fires[0]) * weight
         absent = np.log((1 - fires[1]) / (1 - fires[0])) * weight
         score = votes @ (odds - absent) + absent.sum() + np.log(share / (1 - share))

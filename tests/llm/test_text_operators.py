@@ -161,7 +161,7 @@ def test_label_model_finds_accuracies_and_doubles():
     odds = votes[:, :4] @ np.log(fire / 0.02) + (1 - votes[:, :4]) @ np.log((1 - fire) / 0.98) + np.log(0.2 / 0.8)
     assert ((post > 0.5) == y).mean() > ((odds > 0) == y).mean() - 0.02  # the best that true accuracies give
     assert np.abs(fires[1][:4] - fire).max() < 0.08
-    assert corr[0, 4] > 0.9 and np.abs(corr[0, 1]) < 0.2
+    assert corr[0, 4] > 0.9 and corr[0, 1] < 0.1  # the posterior explains away what voters share
 
 
 def test_packing_round_trip(documents, odd_documents):
