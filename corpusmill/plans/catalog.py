@@ -597,11 +597,11 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def streaming_progress(spark: SparkSession, sf: str) -> DataFrame:
-    folder, target, checkpoint = (work_folder(spark, f"progress-{n}") for n in ("in", "out", "state"))
+    folder, target, rows, checkpoint = (work_folder(spark, f"progress-{n}") for n in ("in", "out", "rows", "state"))
     documents(spark, sf, "text").repartition(4).write.text(folder)
-    lines = ingest.with_progress(ingest.new_lines(spark, folder, "*.txt", files_per_batch=2))
-    rows = ingest.progress_rows(ingest.append_new(lines, target, checkpoint))
-    return spark.createDataFrame(rows, "batch BIGINT, records BIGINT, bytes BIGINT").agg(
+    lines = ingest.new_lines(spark, folder, "*.txt", files_per_batch=2)
+    ingest.append_counted(lines, target, rows, checkpoint)
+    return spark.read.schema("records BIGINT, bytes BIGINT").parquet(rows).agg(
         F.sum("records").alias("records"), F.sum("bytes").alias("bytes")
     )
 

@@ -10,14 +10,15 @@ from corpusmill.functions.text import encodable_bytes
 from corpusmill.operators import ordering
 from corpusmill.sinks import chunks
 
-TARGET_BYTES = 10 * 1024**3  # fixed value: default size
-
-
-def budgeted(records: DataFrame, target_bytes: int, start: chunks.ResumePoint = chunks.ResumePoint(0, 0)) -> DataFrame:
-    """(pos, content) from the start position until the framed size reaches the target."""
+def budgeted(
+    records: DataFrame, target_bytes: int | None, start: chunks.ResumePoint = chunks.ResumePoint(0, 0)
+) -> DataFrame:
+    """(pos, content) from the start position until the framed size reaches the target; all of them without one."""
     encoded = ordering.resume_from(records, "pos", start.pos).select(
         "pos", encodable_bytes(F.col("content")).alias("content")
     )
+    if target_bytes is None:
+        return encoded
     left = max(target_bytes - start.bytes, 0)
     return ordering.within_budget(encoded, "pos", framed_size(F.col("content")), left).select("pos", "content")
 
@@ -26,7 +27,7 @@ def build(
     spark: SparkSession,
     records: DataFrame,
     out: str,
-    target_bytes: int = TARGET_BYTES,
+    target_bytes: int | None = None,
     rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
 ) -> None:
     """Write (pos, content) records as chunks, going on after what earlier runs committed."""

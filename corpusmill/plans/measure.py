@@ -14,7 +14,8 @@ def compare(df: DataFrame, group: str, text: str, out: str, block_bytes: int | N
     append.write_gzip(df, text, group, out)
     packed = append.gzip_sizes(df, out, group)
     stats = redundancy.block_statistics(df, group, text, block_bytes)
-    return stats.join(packed, "grp").select(
+    packed = packed.withColumnRenamed("grp", "_grp")
+    return stats.join(packed, stats["grp"].eqNullSafe(packed["_grp"]), "left").select(
         "grp",
         "files",
         "raw_bytes",

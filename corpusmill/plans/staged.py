@@ -27,7 +27,7 @@ class Inputs:
     models: str | None = None
     manifest: list[str] = field(default_factory=list)
     base_bytes: int = BASE_BYTES
-    target_bytes: int = code.TARGET_BYTES
+    target_bytes: int | None = None  # all records
     rows_per_chunk: int = ordering.ROWS_PER_CHUNK
 
 

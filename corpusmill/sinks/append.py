@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from corpusmill.sources import files
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name for the folder of null
+
+
 def append_text(df: DataFrame, path: str, column: str = "value") -> None:
     """Append lines. Running twice appends twice: use ``streaming.ingest`` for once-only input."""
     df.select(column).write.mode("append").option("lineSep", "\n").text(path)
@@ -28,7 +31,9 @@ def gzip_sizes(df: DataFrame, path: str, group: str, overall: str = "ALL") -> Da
     """(grp, gz_bytes) of what ``write_gzip`` left; ``df`` only names the session."""
     spark = df.sparkSession
     parts = files.inventory(spark, f"{path}/parts", "*.gz")
-    name = F.regexp_extract("path", rf"/{group}=([^/]+)/", 1)
+    # Folder names escape some characters as %XX; a plus sign stands for itself.
+    escaped = F.regexp_extract("path", rf"/{group}=([^/]+)/", 1)
+    name = F.when(escaped != NULL_FOLDER, F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))))
     per_group = parts.groupBy(name.alias("grp")).agg(F.sum("length").alias("gz_bytes"))
     whole = files.inventory(spark, f"{path}/whole", "*.gz").agg(F.sum("length").alias("gz_bytes"))
     return per_group.unionByName(whole.select(F.lit(overall).alias("grp"), "gz_bytes"))

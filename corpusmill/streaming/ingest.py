@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,6 +57,31 @@ def append_new(lines: DataFrame, target: str, checkpoint: str, fmt: str = "json"
     return query
 
 
+def append_counted(lines: DataFrame, target: str, progress: str, checkpoint: str, text: str = "value") -> None:
+    """Append everything new to ``target`` and one row (batch, records, bytes) per batch to ``progress``, and stop.
+
+    A batch that is run again after a crash overwrites its own folders, so nothing is counted twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        counted = batch.observe(
+            seen, F.count("*").alias("records"), F.sum(F.octet_length(text).cast("bigint")).alias("bytes")
+        )
+        counted.write.mode("overwrite").json(f"{target}/batch={number}")
+        row = (number, seen.get["records"], seen.get["bytes"] or 0)
+        one = batch.sparkSession.createDataFrame([row], "n BIGINT, records BIGINT, bytes BIGINT")
+        one.write.mode("overwrite").parquet(f"{progress}/batch={number}")
+
+    query = (
+        lines.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def with_progress(lines: DataFrame, text: str = "value", name: str = "progress") -> DataFrame:
     """Count rows and bytes while they pass by, without a second job."""
     return lines.observe(

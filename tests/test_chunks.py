@@ -115,3 +115,11 @@ def test_gzip_packs_and_sizes(spark):
     sizes = {r.grp: r.gz_bytes for r in append.gzip_sizes(frame, folder, "g").collect()}
     assert set(sizes) == {"a", "b", "ALL"} and sizes["a"] < 1000
     assert spark.read.text(f"{folder}/whole").count() == 2
+
+
+def test_compared_groups_keep_escaped_and_null_names(spark, tmp_path):
+    groups = ["plain", "a:b", "sp ace", "a+b", "50%", None]
+    rows = spark.createDataFrame([(g, f"text {k}") for k, g in enumerate(groups)], "g string, t string")
+    append.write_gzip(rows, "t", "g", str(tmp_path / "out"))
+    sizes = append.gzip_sizes(rows, str(tmp_path / "out"), "g", overall="(all)").collect()
+    assert {r.grp for r in sizes} == {*groups, "(all)"} and all(r.gz_bytes > 0 for r in sizes)

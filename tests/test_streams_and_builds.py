@@ -142,3 +142,18 @@ def test_a_stage_needs_its_input(spark, inputs):
     inputs.web = None
     with pytest.raises(RuntimeError, match="needs web"):
         staged.Build(spark, work_folder(spark, "build"), inputs).run()
+
+
+def test_counted_batches_keep_every_batch(spark, tmp_path):
+    for k in range(6):  # the setting below keeps two progress updates only
+        path = tmp_path / "in" / f"{k:03d}.txt"
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("ab\ncde\n")
+    lines = ingest.new_lines(spark, str(tmp_path / "in"), files_per_batch=1)
+    out, rows = str(tmp_path / "out"), str(tmp_path / "rows")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    for _ in range(2):  # the second run finds nothing new
+        ingest.append_counted(lines, out, rows, str(tmp_path / "state"))
+        total = spark.read.parquet(rows).selectExpr("count(*)", "sum(records)", "sum(bytes)").first()
+        assert tuple(total) == (6, 12, 30) and spark.read.json(out).count() == 12
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
