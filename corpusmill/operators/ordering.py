@@ -7,7 +7,8 @@ rows of one bucket are ever ordered together. A window therefore sees at most 2*
 totals, however large or skewed the table is. Often no row has to move at all: see ``with_position`` and
 ``within_budget``.
 
-Contract: the key is unique, or ``tie`` columns make it so, and lies within 52 bits (record positions do).
+Contract: the key is not null and unique, or ``tie`` columns make it so, and lies within 52 bits (record positions
+do). A null or repeated key ends the job with an error instead of losing a row or giving one place twice.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ ROWS_PER_BATCH = 8
 FRAME_OVERHEAD = 8
 MILESTONE_ROWS = 100
 
-MAX_WINDOW_ROWS = 1 << 20  # a window without partitions gets no more rows than this
 DENSE_KEY = (16, 36)  # record positions: neighbours share a bucket
 HASH_KEY = (28, 40)  # 52-bit hashes: 2**24 buckets, filled evenly
 
@@ -40,15 +40,21 @@ def _div(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by))
 
 
+def _number(key: str) -> Column:
+    """The order key as a number; a null one is an error, as its row would have no place."""
+    return F.coalesce(F.col(key).cast("bigint"), F.raise_error(F.lit(f"null order key: {key}")).cast("bigint"))
+
+
 def _bucket_totals(df: DataFrame, key: str, costs: dict[str, Column], fine: int) -> DataFrame:
-    """Per bucket: the sum of each cost, the number of rows, the first and the last key."""
-    number = F.col(key).cast("bigint")
+    """Per bucket: the sum of each cost, the number of rows, the first and last key and a fingerprint of the keys."""
+    number = F.col("_k")
     return materialized(
-        df.groupBy(F.shiftright(number, fine).alias("_b")).agg(
+        df.withColumn("_k", _number(key)).groupBy(F.shiftright(number, fine).alias("_b")).agg(
             *[F.sum(c.cast("bigint")).alias(f"_s_{n}") for n, c in costs.items()],
             F.count("*").alias("_n"),
             F.min(number).alias("_first"),
             F.max(number).alias("_last"),
+            F.bit_xor(F.xxhash64(number)).alias("_print"),
         ),
         "bucket-totals",
     )
@@ -57,15 +63,12 @@ def _bucket_totals(df: DataFrame, key: str, costs: dict[str, Column], fine: int)
 def _bucket_offsets(per_bucket: DataFrame, costs: Iterable[str], shift: int) -> DataFrame:
     """The bucket totals with ``_o_<name>``, the total before each bucket.
 
-    Up to 2**20 of these small rows are one window. Beyond that totals are first summed over groups of
-    2**shift buckets, so that no window holds more than one group's.
+    Totals are first summed over groups of 2**shift buckets, so that the window over all groups and the one
+    inside a group hold at most 2**20 of these small rows each.
     """
-    if per_bucket.count() <= MAX_WINDOW_ROWS:
-        earlier = W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-        return per_bucket.withColumns({f"_o_{n}": F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)) for n in costs})
     grouped = per_bucket.withColumn("_g", F.shiftright("_b", shift))
     groups = grouped.groupBy("_g").agg(*[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in costs])
-    all_earlier = W.partitionBy(F.lit(0)).orderBy("_g").rowsBetween(W.unboundedPreceding, -1)
+    all_earlier = W.orderBy("_g").rowsBetween(W.unboundedPreceding, -1)
     groups = groups.select(
         "_g", *[F.coalesce(F.sum(f"_t_{n}").over(all_earlier), F.lit(0)).alias(f"_p_{n}") for n in costs]
     )
@@ -99,9 +102,13 @@ def _totals_in_buckets(
         {"_b": F.shiftright(F.col(key).cast("bigint"), fine)}
         | {f"_c_{n}": c.cast("bigint") for n, c in costs.items()}
     )
-    earlier = W.partitionBy("_b").orderBy(key, *tie).rowsBetween(W.unboundedPreceding, -1)
+    in_bucket = W.partitionBy("_b").orderBy(key, *tie)
+    earlier = in_bucket.rowsBetween(W.unboundedPreceding, -1)
+    place = F.struct(key, *tie)
+    repeated = F.raise_error(F.lit(f"repeated order key: {', '.join((key, *tie))}")).cast("bigint")
+    unique = F.when(F.lag(place).over(in_bucket) == place, repeated).otherwise(F.lit(0))
     totals = {
-        f"before_{n}": F.col(f"_o_{n}") + F.coalesce(F.sum(f"_c_{n}").over(earlier), F.lit(0)) for n in costs
+        f"before_{n}": F.col(f"_o_{n}") + F.coalesce(F.sum(f"_c_{n}").over(earlier), F.lit(0)) + unique for n in costs
     }
     return rows.join(offsets, "_b").select(*df.columns, *[t.alias(n) for n, t in totals.items()])
 
@@ -125,7 +132,13 @@ def with_position(
         return running_totals(df, key, costs, tie, shifts).withColumnRenamed("before_rows", name)
     per_bucket = _bucket_totals(df, key, costs, fine)
     offsets = _bucket_offsets(per_bucket, costs, coarse - fine)
-    full = F.col("_last") - F.col("_first") + 1 == F.col("_n")
+    # As many keys as places and the fingerprint of just these keys: none is missing and none repeated.
+    expected = F.aggregate(
+        F.sequence("_first", "_last"), F.lit(0).cast("bigint"), lambda seen, k: seen.bitwiseXOR(F.xxhash64(k))
+    )
+    dense = F.col("_last") - F.col("_first") + 1 == F.col("_n")
+    offsets = materialized(offsets.withColumn("_full", F.when(dense, expected == F.col("_print")).otherwise(False)), "offsets")
+    full = F.col("_full")
     lookup = offsets.where(full).select("_b", "_first", "_o_rows")
     ranked = (
         df.withColumn("_b", F.shiftright(F.col(key).cast("bigint"), fine))
@@ -134,7 +147,7 @@ def with_position(
     )
     gapped = offsets.where(~full).select("_b", "_o_rows")
     ordered = _totals_in_buckets(df, key, costs, tie, fine, gapped).withColumnRenamed("before_rows", name)
-    buckets = per_bucket.agg(F.count_if(full).alias("full"), F.count_if(~full).alias("gapped")).first()
+    buckets = offsets.agg(F.count_if(full).alias("full"), F.count_if(~full).alias("gapped")).first()
     if buckets["gapped"] == 0:
         return ranked
     return ordered if buckets["full"] == 0 else ranked.unionByName(ordered)

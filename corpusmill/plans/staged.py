@@ -77,7 +77,7 @@ class Build:
         if self.inputs.web is None:
             return False
         ingest.collect_lines(
-            ingest.new_lines(self.spark, self.inputs.web), self._combined, f"{self.root}/_checkpoints/web"
+            ingest.new_lines(self.spark, self.inputs.web, full_path=True), self._combined, f"{self.root}/_checkpoints/web"
         )
         if self._web_lines().isEmpty():
             raise RuntimeError("the web stage produced no text")
@@ -110,7 +110,7 @@ class Build:
     def _hot_duplicates(self) -> bool:
         """The base prefix once as bytes, then its copies: the files a copying loop would leave."""
         folder = f"{self.root}/synthetic/hot_duplicates"
-        text.head_bytes(self._web_lines(), self.inputs.base_bytes).write.mode("overwrite").parquet(
+        text.head_bytes(self._web_lines(), self.inputs.base_bytes, written=True).write.mode("overwrite").parquet(
             f"{folder}/file={replicate.BASE_NAME}"
         )
         copies = replicate.exact_copies(self._base).where("copy > 0").select("file", "pos", "piece")
@@ -128,7 +128,7 @@ class Build:
         return True
 
     def _append_logs(self) -> bool:
-        lines = text.with_line_position(self._web_lines())
+        lines = text.with_line_position(self._web_lines(), written=True)
         logs = replicate.append_logs(lines, "pos", "value")
         logs.write.mode("overwrite").partitionBy("file").parquet(f"{self.root}/synthetic/append_logs")
         return True

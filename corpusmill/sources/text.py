@@ -16,8 +16,9 @@ PATHS_SAMPLED = 100  # fixed value
 def read_lines(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
     """Lines with their place: file, split offset, and a number growing along each split.
 
-    Splits hold consecutive lines and a split is read by one task, so (file, block, seq) is the order
-    of the concatenated files. Only ``\\n`` ends a line. gzip members are not splittable: one task each.
+    Splits hold consecutive lines and a split is read by one task, so within one scan (file, block, seq) is
+    the order of the concatenated files. Another scan may split the files elsewhere: what relates the two
+    must be written down from a single one, see ``stored``. Only ``\\n`` ends a line. gzip members are not splittable: one task each.
     ``tolerant`` skips unreadable or vanished files.
     """
     lines = (
@@ -34,16 +35,24 @@ def read_lines(spark: SparkSession, *paths: str, tolerant: bool = False) -> Data
     )
 
 
-def split_offsets(lines: DataFrame) -> DataFrame:
-    """One row per split: lines and bytes before it in the stream, and its own. Written down once."""
-    splits = lines.groupBy("file", "block").agg(
+def stored(lines: DataFrame) -> DataFrame:
+    """The lines with their places as one scan saw them, written once to the shared folder."""
+    return materialized(lines.select("file", "block", "seq", "value"), "lines")
+
+
+def split_offsets(placed: DataFrame) -> DataFrame:
+    """One row per split: lines and bytes before it in the stream, and its own. Written down once.
+
+    ``placed`` is a written table of lines with their places, so that every reader of it sees the same splits.
+    """
+    splits = placed.groupBy("file", "block").agg(
         F.count("*").alias("n_lines"),
         F.sum(F.octet_length("value") + F.lit(1).cast("bigint")).alias("n_bytes"),
         F.min("seq").alias("first_seq"),
     )
     files = splits.groupBy("file").agg(F.sum("n_lines").alias("l"), F.sum("n_bytes").alias("b"))
     # One row per file: the list of files, which the driver holds for planning anyway.
-    earlier_files = W.partitionBy(F.lit(0)).orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    earlier_files = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
     starts = files.select(
         "file",
         F.coalesce(F.sum("l").over(earlier_files), F.lit(0)).alias("fl"),
@@ -62,17 +71,30 @@ def split_offsets(lines: DataFrame) -> DataFrame:
     return materialized(offsets, "split-offsets")
 
 
-def with_line_position(lines: DataFrame) -> DataFrame:
-    """Add ``pos``, the line's 0-based place in the stream; only split totals are aggregated."""
-    placed = lines.join(split_offsets(lines), ["file", "block"])
-    return placed.select(
-        "file", "value", (F.col("lines_before") + F.col("seq") - F.col("first_seq")).alias("pos")
-    )
+def _positions(placed: DataFrame, offsets: DataFrame) -> DataFrame:
+    pos = F.col("lines_before") + F.col("seq") - F.col("first_seq")
+    return placed.join(offsets, ["file", "block"]).select("file", "value", pos.alias("pos"))
+
 
+def with_line_position(lines: DataFrame, written: bool = False) -> DataFrame:
+    """Add ``pos``, the line's 0-based place in the stream; only split totals are aggregated.
 
-def head_bytes(lines: DataFrame, n_bytes: int) -> DataFrame:
-    """The stream's first ``n_bytes`` as ordered pieces (pos, piece), newlines included."""
-    return ordering.byte_prefix(with_line_position(lines), "pos", "value", n_bytes).select("pos", "piece")
+    The input is scanned once and written with its places; offsets and lines both come from that table, so
+    it does not matter if the files would be split differently, or more of them arrive, afterwards.
+    ``written``: the lines are such a table already, as ``ingest.collect_lines`` leaves it.
+    """
+    placed = lines if written else stored(lines)
+    return _positions(placed, split_offsets(placed))
+
+
+def head_bytes(lines: DataFrame, n_bytes: int, written: bool = False) -> DataFrame:
+    """The stream's first ``n_bytes`` as ordered pieces (pos, piece), newlines included.
+
+    Splits that begin beyond the head are left out before any line is placed.
+    """
+    placed = lines if written else stored(lines)
+    offsets = split_offsets(placed).where(F.col("bytes_before") < n_bytes)
+    return ordering.byte_prefix(_positions(placed, offsets), "pos", "value", n_bytes).select("pos", "piece")
 
 
 def path_list(lines: DataFrame, prefix: str, n: int = PATHS_SAMPLED) -> DataFrame:

@@ -9,13 +9,20 @@ from pyspark.sql.streaming import StreamingQuery
 COLLECTED_SCHEMA = "file STRING, block BIGINT, seq BIGINT, value STRING"
 
 
-def new_lines(spark: SparkSession, folder: str, glob: str = "*", files_per_batch: int | None = None) -> DataFrame:
-    """Lines of files not seen before, with the file they come from."""
+def new_lines(
+    spark: SparkSession, folder: str, glob: str = "*", files_per_batch: int | None = None, full_path: bool = False
+) -> DataFrame:
+    """Lines of files not seen before, with the file they come from.
+
+    ``full_path`` tells files of one name in several folders apart; a stream's order needs that.
+    """
     reader = spark.readStream.option("lineSep", "\n").option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(folder).select(
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+        F.col("_metadata.file_path" if full_path else "_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
     )
 
 

@@ -124,6 +124,27 @@ def test_stream_order_positions_and_head(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_no_line_is_lost_when_the_files_would_be_split_differently_later(spark, tmp_path):
+    """Also two files of one name, and a file that arrives after the lines were placed."""
+    contents = {"x/part.txt": "x", "y/part.txt": "y", "z.txt": "z"}
+    for name, letter in contents.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("".join(f"{letter}{i}\n" for i in range(20_000)))
+    paths = [str(tmp_path / name) for name in contents]
+    setting = "spark.sql.files.minPartitionNum"
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set(setting, "3")
+    try:
+        placed = text.with_line_position(text.read_lines(spark, *paths))
+        spark.conf.set(setting, "29")
+        got = placed.orderBy("pos").collect()
+    finally:
+        spark.conf.unset(setting)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.pos for r in got] == list(range(60_000))
+    assert [r.value for r in got] == [f"{letter}{i}" for letter in "xyz" for i in range(20_000)]
+
+
 def test_path_list_takes_the_first(spark, tmp_path):
     (tmp_path / "paths.gz").write_bytes(gzip.compress("".join(f"crawl/seg/{i:04d}.wet.gz\n" for i in range(250)).encode()))
     lines = text.with_line_position(text.read_lines(spark, str(tmp_path / "paths.gz")))
