@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from corpusmill.plans.catalog import QUERIES
+from corpusmill.plans.catalog_sql import SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents pages embeddings conversations benchmark labels".split()
@@ -33,8 +35,9 @@ def rows(columns, records):
 
 
 def test_registration():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
+    assert set(SQL) <= set(QUERIES)
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -42,7 +45,7 @@ def test_entry(spark):
     assert result.columns == ["page_id", "text", "n_bytes"] and result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, database, name):
     result = entry.queries()[name](spark, SF)
     got = rows(result.columns, [tuple(r) for r in result.collect()])
