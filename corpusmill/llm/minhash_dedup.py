@@ -7,10 +7,12 @@
 3. In each band bucket every class meets the bucket's least and its greatest member (a star, so the pairs are
    linear in the bucket). Pairs whose sketches estimate a similarity below ``ESTIMATE`` are dropped: the margin is five
    standard deviations of the estimate. The rest are confirmed on the full sets, and components are formed.
-4. Buckets that then hold more than one component are compared once more: members outside the bucket's main
-   component with all members of other components, with the sketch test inside the join, and confirmed. So every
-   pair that shares a bucket is linked, known to be joined already, or compared; no bucket is capped. A pair at the
-   threshold shares a bucket with probability 1 - (1 - 0.8**5)**26 = 0.99997.
+4. A bucket of more than three members that then holds more than one component is cut into blocks by hash, and the
+   blocks with members outside the bucket's main component meet every block, one pair of blocks a group. Inside it,
+   pairs of different components whose sketches pass are counted exactly, and only a spanning forest of the links
+   found leaves the group, so rows stay linear however alike the members are. So every pair that shares a bucket is
+   linked, known to be joined already, or compared; no bucket is capped. Buckets with the same members are compared
+   once. A pair at the threshold shares a bucket with probability 1 - (1 - 0.8**5)**26 = 0.99997.
 
 Only texts of documents that share a bucket are shuffled, once, to build their sets.
 
@@ -37,6 +39,8 @@ BANDS, ROWS = 26, 5
 HASHES = BANDS * ROWS
 SKETCH_BITS, SKETCH_LONGS = 512, 8
 ESTIMATE = 0.62
+# Members and shingles of one block, and shingles held as matrix columns at once.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 1 << 20, 4096
 SEED = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -163,6 +167,129 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both.cast("bigint") >= similarity * union).select("a", "b")
 
 
+def _block_links(
+    members: DataFrame, joined: DataFrame, sketch: DataFrame, sets: DataFrame, similarity: int
+) -> DataFrame:
+    """Links (a, b) that join the different components of a bucket; ``joined`` holds the components so far.
+
+    Buckets of up to three members have been compared in full by their two stars.
+    """
+    placed = members.where("n > 3").join(joined, F.col("cid") == F.col("node"), "left").select(
+        "bucket", "cid", "lo", F.coalesce("component", "cid").alias("comp")
+    )
+    weighed = materialized(placed.join(sets.select("cid", F.size("shingles").alias("size")), "cid"), "placed")
+    # The bucket's main component is the one its least member is in.
+    main = F.max(F.when(F.col("cid") == F.col("lo"), F.col("comp")))
+    buckets = weighed.groupBy("bucket").agg(
+        main.alias("main"),
+        F.min("comp").alias("first"),
+        F.max("comp").alias("last"),
+        F.count("*").alias("n"),
+        F.sum("size").alias("size"),
+        F.bit_xor(F.xxhash64("cid")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("x2"),
+    )
+    alone = buckets.where("first <> last").groupBy("n", "size", "x1", "x2").agg(F.min_by(F.struct("bucket", "main"), "bucket").alias("b"))
+    parted = weighed.join(alone.select("b.bucket", "b.main"), "bucket").withColumn("inside", F.col("comp") == F.col("main"))
+    blocks = parted.groupBy("bucket").agg(
+        *[
+            F.greatest(
+                F.ceil(F.count(F.when(side, 1)) / BLOCK), F.ceil(F.sum(F.when(side, F.col("size")).otherwise(0)) / BLOCK_SHINGLES)
+            ).cast("int").alias(name)
+            for name, side in (("n_in", F.col("inside")), ("n_out", ~F.col("inside")))
+        ]
+    )
+    dealt = parted.join(blocks, "bucket")
+    of = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    own = F.when(F.col("inside"), F.col("n_out") + of("n_in")).otherwise(of("n_out"))
+    # Blocks below n_out are outside the main component; every pair with at least one of those is a group.
+    met = F.sequence(F.lit(0), F.when(F.col("inside"), F.col("n_out")).otherwise(F.col("n_out") + F.col("n_in")) - 1)
+    dealt = dealt.withColumn("own", own).select("bucket", "cid", "comp", "own", F.explode(met).alias("other"))
+    grouped = dealt.select(
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "comp"
+    )
+    full = grouped.join(sketch, "cid").join(sets, "cid")
+
+    def run(table: pa.Table) -> pa.Table:
+        return _forest(table, similarity)
+
+    ship_package()
+    kind = sets.schema["cid"].dataType.simpleString()
+    return full.groupBy("bucket", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
+
+
+def _forest(table: pa.Table, similarity: int) -> pa.Table:
+    """A spanning forest of the links between the components of one pair of blocks."""
+    table = table.combine_chunks()
+    ids = table.column("cid").combine_chunks()
+    component = table.column("comp").combine_chunks()
+    # Structs have no dictionary encoding, so their values stand for themselves.
+    known: dict = {}
+    comp = np.array([known.setdefault(str(c), len(known)) for c in component.to_pylist()])
+    sketch = np.asarray(table.column("sketch").combine_chunks().flatten()).reshape(len(ids), SKETCH_LONGS)
+    lists = table.column("shingles").combine_chunks()
+    offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+    size = np.diff(offsets).astype(np.int64)
+    own, i, j = table.column("own").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    bits = np.zeros((len(left), len(right)), np.int64)
+    for k in range(SKETCH_LONGS):
+        bits += np.bitwise_count(sketch[left, k].view(np.uint64)[:, None] ^ sketch[right, k].view(np.uint64)[None])
+    open_ = (bits <= MOST_BITS) & (comp[left][:, None] != comp[right][None])
+    rows, cols = open_.any(axis=1), open_.any(axis=0)
+    left, right, open_ = left[rows], right[cols], open_[rows][:, cols]
+    both = _intersections(flat, offsets, left, right)
+    close = open_ & (100 * both >= similarity * (size[left][:, None] + size[right][None] - both))
+    a, b = _spanning(close)
+    return pa.table({"a": ids.take(pa.array(left[a])), "b": ids.take(pa.array(right[b]))})
+
+
+def _intersections(flat: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """(left, right) sizes of the sets' intersections, by products of membership matrices a few columns at a time."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    sides = []
+    for members in (left, right):
+        values = [flat[offsets[m] : offsets[m + 1]] for m in members]
+        sides.append((np.concatenate([*values, flat[:0]]), np.repeat(np.arange(len(members)), [len(v) for v in values])))
+    common = np.intersect1d(sides[0][0], sides[1][0])
+    placed = []
+    for values, owner in sides:
+        at = np.searchsorted(common, values)
+        held = at < len(common)
+        held[held] = common[at[held]] == values[held]
+        order = np.argsort(at[held], kind="stable")
+        placed.append((at[held][order], owner[held][order]))
+    for start in range(0, len(common), COLUMNS):
+        matrices = []
+        for (at, owner), members in zip(placed, (left, right), strict=True):
+            cut = slice(*np.searchsorted(at, [start, start + COLUMNS]))
+            matrix = np.zeros((len(members), COLUMNS), np.float32)
+            matrix[owner[cut], at[cut] - start] = 1
+            matrices.append(matrix)
+        out += (matrices[0] @ matrices[1].T).astype(np.int64)
+    return out
+
+
+def _spanning(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the edges of a spanning forest of a bipartite graph, breadth first."""
+    new_rows, new_cols = np.ones(close.shape[0], bool), np.ones(close.shape[1], bool)
+    a, b = [], []
+    for root in range(close.shape[0]):
+        if not new_rows[root]:
+            continue
+        new_rows[root] = False
+        frontier = [(root, True)]
+        while frontier:
+            node, is_row = frontier.pop()
+            fresh = np.flatnonzero(close[node] & new_cols if is_row else close[:, node] & new_rows)
+            (new_cols if is_row else new_rows)[fresh] = False
+            for other in fresh.tolist():
+                a.append(node if is_row else other)
+                b.append(other if is_row else node)
+                frontier.append((other, not is_row))
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
 def dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -178,8 +305,10 @@ def dedup(
     )
     classes = materialized(classes, "classes")
     banded = classes.select("cid", F.explode("bands").alias("bucket"))
-    ends = banded.groupBy("bucket").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi")
-    members = materialized(banded.join(ends, "bucket").select("bucket", "cid", "lo", "hi"), "buckets")
+    ends = banded.groupBy("bucket").agg(
+        F.min("cid").alias("lo"), F.max("cid").alias("hi"), F.count("*").alias("n")
+    ).where("lo < hi")
+    members = materialized(banded.join(ends, "bucket").select("bucket", "cid", "lo", "hi", "n"), "buckets")
     sharing = members.select("cid").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # Rows that repeat an id may differ in their text, so sets are matched to classes by digest as well.
@@ -202,36 +331,7 @@ def dedup(
     links = materialized(_confirmed(near, sets, similarity), "links")
     joined = materialized(components(links), "joined")
 
-    placed = members.join(joined, members["cid"] == joined["node"], "left").select(
-        "bucket", "cid", "lo", F.coalesce("component", "cid").alias("comp")
-    )
-    # The bucket's main component is the one its least member is in.
-    mains = placed.where("cid = lo").select("bucket", F.col("comp").alias("main"))
-    placed = placed.join(mains, "bucket")
-    mixed = placed.where("comp <> main").select("bucket").distinct()
-    rest = materialized(
-        placed.join(mixed, "bucket").join(sketch, "cid").select("bucket", "cid", "lo", "comp", "main", "sketch"), "rest"
-    )
-    outside = rest.where("comp <> main").select(
-        "bucket", F.col("cid").alias("x"), F.col("comp").alias("cx"), F.col("sketch").alias("sx")
-    )
-    # Pairs with the bucket's least member have been compared above.
-    others = rest.where("cid <> lo").select(
-        "bucket",
-        F.col("cid").alias("y"),
-        F.col("comp").alias("cy"),
-        (F.col("comp") == F.col("main")).alias("inside"),
-        F.col("sketch").alias("sy"),
-    )
-    crossed = outside.join(
-        others,
-        (outside["bucket"] == others["bucket"])
-        & (F.col("cx") != F.col("cy"))
-        & (F.col("inside") | (F.col("x") < F.col("y")))
-        & _alike("sx", "sy"),
-    )
-    crossed = crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = _confirmed(crossed, sets, similarity)
+    more = _block_links(members, joined, sketch, sets, similarity)
     every = materialized(components(links.unionByName(more)), "components")
 
     grouped = classes.select("d1", "d2", "n_shingles", "cid").join(every, F.col("cid") == F.col("node"), "left").select(
