@@ -39,10 +39,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id; rows that repeat its id stay with it."""
-    result = minhash_dedup.dedup(docs)
-    gone = result.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One document of each group of near copies (five-word shingles), that of the smallest id, null ids first.
+
+    A document is known by its id and its text's digest: different texts of one id are judged apart, and rows that
+    repeat both are one document, of which one row stays. Texts without words are alike to none.
+    """
+    digests = [F.xxhash64("_plain").alias("t1"), F.xxhash64(F.lit(1), F.col("_plain")).alias("t2")]
+    keyed = _beside(docs).select("_doc", "_plain", F.struct(F.col("_doc.doc_id").alias("id"), *digests).alias("_key"))
+    judged = minhash_dedup.dedup(keyed, "_key", "_plain").groupBy("_key").agg(
+        F.first("kept").alias("kept"), F.count("*").alias("n")
+    )
+    judged = materialized(judged.where("not kept or n > 1"), "judged")
+    gone, repeated = judged.where("not kept").select("_key"), judged.where("kept and n > 1").select("_key")
+    rest = keyed.join(gone, "_key", "left_anti")
+    if not repeated.isEmpty():
+        once = rest.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
+        rest = rest.join(repeated, "_key", "left_anti").unionByName(once)
+    return rest.select("_doc.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
