@@ -3,7 +3,7 @@
 1. A text's set of word shingles is hashed in the JVM; ``HASHES`` MinHash samples of it make ``BANDS`` bands of
    ``ROWS`` samples and an odd sketch: the samples, each hashed with its number, toggle bits of a bitmap of
    ``SKETCH_BITS``, so that the population count of the XOR of two bitmaps tells how many samples differ.
-2. Documents with equal sets are one class, held by its smallest id; only classes go on.
+2. Documents with equal sets are one class, known by a number; only classes go on, whatever type the ids have.
 3. In each band bucket every class meets the bucket's least and its greatest member (a star, so the pairs are
    linear in the bucket). Pairs whose sketches estimate a similarity below ``ESTIMATE`` are dropped: the margin is five
    standard deviations of the estimate. The rest are confirmed on the full sets, and components are formed.
@@ -298,10 +298,12 @@ def dedup(
     similarity: int = SIMILARITY,
 ) -> DataFrame:
     """Per row its id, ``n_shingles``, ``component_id`` and ``kept`` (the id is the component's smallest)."""
-    sketches = materialized(sketched(shingle_set(docs, id_col, text_col, width)), "sketches")
+    sketches = sketched(shingle_set(docs, id_col, text_col, width)).withColumn("row", F.monotonically_increasing_id())
+    sketches = materialized(sketches, "sketches")
     full = sketches.where("n_shingles > 0 and id is not null")
+    # The least row is the class's number; the table of rows is written, so it stays the same.
     classes = full.groupBy("d1", "d2", "n_shingles").agg(
-        F.min("id").alias("cid"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("row").alias("cid"), F.min("id").alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     classes = materialized(classes, "classes")
     banded = classes.select("cid", F.explode("bands").alias("bucket"))
@@ -309,15 +311,15 @@ def dedup(
         F.min("cid").alias("lo"), F.max("cid").alias("hi"), F.count("*").alias("n")
     ).where("lo < hi")
     members = materialized(banded.join(ends, "bucket").select("bucket", "cid", "lo", "hi", "n"), "buckets")
-    sharing = members.select("cid").distinct()
+    sharing = classes.join(members.select("cid").distinct(), "cid").select("least").distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # Rows that repeat an id may differ in their text, so sets are matched to classes by digest as well.
-    chosen = texts.join(sharing, texts["id"] == sharing["cid"]).select("id", "text")
+    chosen = texts.join(sharing, texts["id"] == sharing["least"]).select("id", "text")
     digested = shingle_set(chosen, "id", "text", width).withColumn("_sorted", F.sort_array("shingles"))
     digested = digested.select(
-        F.col("id").alias("cid"), "shingles", F.xxhash64("_sorted").alias("d1"), F.hash("_sorted").cast("bigint").alias("d2")
+        F.col("id").alias("least"), "shingles", F.xxhash64("_sorted").alias("d1"), F.hash("_sorted").cast("bigint").alias("d2")
     )
-    sets = digested.join(classes.select("cid", "d1", "d2", "sketch"), ["cid", "d1", "d2"]).select(
+    sets = digested.join(classes.select("cid", "least", "d1", "d2"), ["least", "d1", "d2"]).select(
         "cid", "shingles"
     ).dropDuplicates(["cid"])
     sets = materialized(sets, "sets")
@@ -334,8 +336,12 @@ def dedup(
     more = _block_links(members, joined, sketch, sets, similarity)
     every = materialized(components(links.unionByName(more)), "components")
 
-    grouped = classes.select("d1", "d2", "n_shingles", "cid").join(every, F.col("cid") == F.col("node"), "left").select(
-        "d1", "d2", "n_shingles", F.coalesce("component", "cid").alias("component_id")
+    placed = classes.select("d1", "d2", "n_shingles", "cid", "least").join(every, F.col("cid") == F.col("node"), "left").select(
+        "d1", "d2", "n_shingles", "least", "component"
+    )
+    heads = placed.where("component is not null").groupBy("component").agg(F.min("least").alias("head"))
+    grouped = placed.join(heads, "component", "left").select(
+        "d1", "d2", "n_shingles", F.coalesce("head", "least").alias("component_id")
     )
     out = sketches.select("id", "n_shingles", "d1", "d2").join(grouped, ["d1", "d2", "n_shingles"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))

@@ -11,13 +11,17 @@ from corpusmill.llm import (
     embedding_dedup,
     language_id,
     license_scan,
+    merkle_manifest,
     minhash_dedup,
     packing,
+    periodic_runs,
     piece_sampling,
     pii,
+    positional_index,
     quality_rules,
     toxicity,
     url_filter,
+    words,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +152,66 @@ def op9_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash_dedup.dedup(table(spark, sf, "documents", "doc_id", "text"), width=4)
+
+
+@query
+def op11_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents", "doc_id", "text")
+    found = positional_index.decontaminate(docs, table(spark, sf, "benchmark", "item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query
+def op12_merkle_dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaves whose key's checksum is a multiple of seven are presented with one more character counted."""
+    docs = table(spark, sf, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda n_chars: merkle_manifest.leaf_digest(
+        F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")
+    )
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, leaf(F.col("n_chars") + 1))
+    manifest = merkle_manifest.build(docs, "doc_id", "lang", leaf(F.col("n_chars")), tampered)
+    proofs = merkle_manifest.prove(manifest).withColumn(
+        "folded_root", merkle_manifest.folded(F.coalesce("presented", "leaf"), F.col("path"))
+    )
+    return proofs.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents, of which a tenth repeat their words from a place on; place and period follow from the id."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    g = F.call_function("div", checksum, F.lit(10))
+    rows = words.words_of(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "text")
+    n = F.size("_words")
+    start = (g % n).cast("int")
+    period = F.lit(1) + F.call_function("div", n - start, F.lit(3) + g % 8).cast("int")
+    placed = rows.select("doc_id", "text", "_words", ((checksum % 10 == 0) & (n > 0)).alias("_chosen"))
+    placed = placed.withColumns({"_a": F.when(F.col("_chosen"), start), "_p": F.when(F.col("_chosen"), period)})
+    source = lambda i: F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p"))
+    repeated = F.transform("_words", lambda word, i: F.get(F.col("_words"), source(i)))
+    return placed.select("doc_id", F.when(F.col("_chosen"), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic_runs.detect(planted_runs(table(spark, sf, "documents", "doc_id", "text")))
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    # Runs come by start and period, so of equal exponents the first stays.
+    longer = lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r
+    ).otherwise(best)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))
+    best = found.withColumn("_best", F.aggregate("runs", none, longer))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.call_function("div", 1000 * F.col("_best.length"), F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -13,6 +13,32 @@ def _number(text: str, modulus: int) -> str:
     return f"(('0x' || substr(md5({text}), 1, 7))::BIGINT % {modulus})"
 
 
+# The checksum of a decimal number: CRC-32 (polynomial 0xEDB88320, reversed) a byte at a time.
+_CRC32 = """xor(4294967295, list_reduce([4294967295::UBIGINT] || list_transform(string_split({}::VARCHAR, ''),
+  lambda c: ord(c)::UBIGINT), lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _nodes(name: str, leaves: str) -> str:
+    """Recursive table of a forest's nodes (tree, level, pos, n, digest), n counting the level's nodes of the tree."""
+    return f"""{name} AS (
+  {leaves}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY tree, pos // 2)"""
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TOKENS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 SQL: dict[str, str] = {
     "op1_url_filters": rf"""
 WITH parts AS (
@@ -99,5 +125,50 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN low ON low.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+""",
+    "op11_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {_TOKENS} AS words FROM documents),
+b AS (SELECT item_id, {_TOKENS} AS words FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[i:i + 9], ' ') AS window_words
+  FROM (SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS i FROM b WHERE len(words) > 0)),
+doc_windows AS (
+  SELECT doc_id, i, n, array_to_string(words[i:i + n - 1], ' ') AS window_words
+  FROM (SELECT doc_id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i
+        FROM d, (SELECT DISTINCT n FROM item_windows) WHERE len(words) >= n)),
+hits AS (SELECT doc_id, i, n, item_id FROM doc_windows JOIN item_windows USING (n, window_words)),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hits, generate_series(0, 9) AS s(k) WHERE k < n GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op12_merkle_dataset_manifest": f"""
+WITH RECURSIVE placed AS (
+  SELECT doc_id, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {_CRC32.format("doc_id")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS tampered,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM documents),
+{_nodes("lower_nodes", "SELECT tree, 0 AS level, pos, n, leaf AS digest FROM placed")},
+subroots AS (SELECT tree, digest FROM lower_nodes WHERE n = 1),
+{_nodes("upper_nodes", "SELECT 0 AS tree, 0 AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, digest FROM subroots")},
+steps AS (
+  SELECT doc_id, 0 AS part, l.level, (p.pos >> l.level) & 1 AS bit, coalesce(s.digest, '') AS other
+  FROM placed p JOIN (SELECT DISTINCT tree, level FROM lower_nodes WHERE n > 1) l USING (tree)
+  LEFT JOIN lower_nodes s ON s.tree = p.tree AND s.level = l.level AND s.pos = xor(p.pos >> l.level, 1)
+  UNION ALL
+  SELECT doc_id, 1, l.level, (p.tree >> l.level) & 1, coalesce(s.digest, '')
+  FROM placed p, (SELECT DISTINCT level FROM upper_nodes WHERE n > 1) l
+  LEFT JOIN upper_nodes s ON s.level = l.level AND s.pos = xor(p.tree >> l.level, 1)),
+paths AS (SELECT doc_id, list((bit || other) ORDER BY part, level) AS path FROM steps GROUP BY doc_id),
+out AS (
+  SELECT doc_id, leaf, r.digest AS subroot, (SELECT digest FROM upper_nodes WHERE n = 1) AS root,
+         sha256(array_to_string(list_transform(coalesce(path, []), lambda s: s[2:]), '')) AS proof_sha256,
+         list_reduce([coalesce(tampered, leaf)] || coalesce(path, []), lambda node, s:
+           sha256(CASE WHEN s[1] = '1' THEN s[2:] || node ELSE node || s[2:] END)) AS folded_root
+  FROM placed JOIN subroots r USING (tree) LEFT JOIN paths USING (doc_id))
+SELECT *, folded_root = root AS verified FROM out
 """,
 }
