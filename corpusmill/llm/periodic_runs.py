@@ -147,14 +147,18 @@ def grammar(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Grammar:
 
 
 class Extensions:
-    """Longest common extensions inside texts, by exact ranks of blocks of doubled length."""
-
-    def __init__(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int):
-        n = len(words)
-        self.start = np.repeat(starts, ends - starts)
-        end = np.repeat(ends, ends - starts)
+    """Longest common extensions inside some of the texts, by exact ranks of blocks of doubled length."""
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, ends: np.ndarray, chosen: np.ndarray, longest: int):
+        self.starts, sizes = starts, (ends - starts)[chosen]
+        # The chosen texts one after another, and how far each has moved.
+        begins = np.cumsum(sizes) - sizes
+        self.moved = np.zeros(len(starts), np.int64)
+        self.moved[chosen] = starts[chosen] - begins
+        n = int(sizes.sum())
+        self.start, end = np.repeat(begins, sizes), np.repeat(begins + sizes, sizes)
         index = np.arange(n)
-        self.ranks, width = [words.astype(np.int64)], 1
+        self.ranks, width = [words[index + np.repeat(self.moved[chosen], sizes)].astype(np.int64)], 1
         while 2 * width <= longest:
             below = self.ranks[-1]
             held = np.flatnonzero(index + 2 * width <= end)
@@ -163,9 +167,14 @@ class Extensions:
             self.ranks.append(rank)
             width *= 2
 
+    def _placed(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        moved = self.moved[np.searchsorted(self.starts, i, side="right") - 1]
+        return i - moved, j - moved
+
     def forward(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """How many words from i on equal those from j on (i before j, both before the text's end or at it)."""
         n = len(self.start)
+        i, j = self._placed(i, j)
         length = np.zeros(len(i), np.int64)
         for k in reversed(range(len(self.ranks))):
             rank, a, b = self.ranks[k], i + length, j + length
@@ -177,6 +186,7 @@ class Extensions:
 
     def backward(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """How many words up to i equal those up to j, both exclusive."""
+        i, j = self._placed(i, j)
         length = np.zeros(len(i), np.int64)
         low = self.start[np.minimum(i, len(self.start) - 1)]
         for k in reversed(range(len(self.ranks))):
@@ -211,8 +221,29 @@ def _anchors(words: np.ndarray, ends: np.ndarray, starts: np.ndarray) -> tuple[n
     return group, code[order], held[order]
 
 
-def _periods(g: Grammar, chosen: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate periods (nonterminal, period) of runs that cross a boundary, a bounded number at a time."""
+@dataclass
+class Repeats:
+    """Nonterminals with anchors beside their boundary that repeat in reach: where, and their equals' range in ``held``."""
+
+    node: np.ndarray
+    place: np.ndarray
+    low: np.ndarray
+    times: np.ndarray
+    held: np.ndarray
+
+    def periods(self, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Candidate periods (nonterminal, period) of runs that cross a boundary, a bounded number at a time."""
+        total = np.cumsum(self.times)
+        for at in range(0, int(total[-1]) if len(total) else 0, CANDIDATES):
+            number = np.arange(at, min(at + CANDIDATES, int(total[-1])))
+            row = np.searchsorted(total, number, side="right")
+            period = np.abs(self.held[self.low[row] + number - (total - self.times)[row]] - self.place[row])
+            apart = period > 0
+            pair = np.unique(self.node[row][apart] * n + period[apart])
+            yield pair // n, pair % n
+
+
+def _repeats(g: Grammar, chosen: np.ndarray, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Repeats:
     group, code, held = _anchors(words, ends, starts)
     n = len(words) + 1
     keys = code * n + held
@@ -226,16 +257,10 @@ def _periods(g: Grammar, chosen: np.ndarray, words: np.ndarray, starts: np.ndarr
         longest = (g.hi[node] - g.lo[node]) // LEAST_PERIODS
         low = np.searchsorted(keys, group[place] * n + np.maximum(place - longest, g.lo[node]))
         high = np.searchsorted(keys, group[place] * n + np.minimum(place + longest, g.hi[node] - ANCHOR), side="right")
-        tested.append((node, place, low, high - low))
-    node, place, low, times = (np.concatenate(c) for c in zip(*tested, strict=True))
-    total = np.cumsum(times)
-    for at in range(0, int(total[-1]) if len(total) else 0, CANDIDATES):
-        number = np.arange(at, min(at + CANDIDATES, int(total[-1])))
-        row = np.searchsorted(total, number, side="right")
-        period = np.abs(held[low[row] + number - (total - times)[row]] - place[row])
-        apart = period > 0
-        pair = np.unique(node[row][apart] * n + period[apart])
-        yield pair // n, pair % n
+        # An anchor finds itself; only others tell a period.
+        others = high - low > 1
+        tested.append((node[others], place[others], low[others], (high - low)[others]))
+    return Repeats(*(np.concatenate(c) for c in zip(*tested, strict=True)), held)
 
 
 def _least_period(node: np.ndarray, start: np.ndarray, end: np.ndarray, period: np.ndarray) -> np.ndarray:
@@ -250,10 +275,11 @@ def find_runs(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     """(start, end, period) of all runs, ordered by start and period; words are numbered per text."""
     g = grammar(words, starts, ends)
     chosen = np.flatnonzero(g.hi - g.lo >= LEAST_WORDS)
-    longest = int((g.hi[chosen] - g.lo[chosen]).max(initial=0))
-    extend, found = None, [np.zeros((4, 0), np.int64)]
-    for node, period in _periods(g, chosen, words, starts, ends):
-        extend = extend or Extensions(words, starts, ends, longest)
+    repeats = _repeats(g, chosen, words, starts, ends)
+    texts = np.unique(np.searchsorted(starts, g.lo[repeats.node], side="right") - 1)
+    longest = int((g.hi[repeats.node] - g.lo[repeats.node]).max(initial=0))
+    extend, found = Extensions(words, starts, ends, texts, longest), [np.zeros((4, 0), np.int64)]
+    for node, period in repeats.periods(len(words) + 1):
         for inner in (g.cut[node], g.cut[node] - period):
             fits = (inner >= g.lo[node]) & (inner + period < g.hi[node])
             fits[fits] = words[inner[fits]] == words[inner[fits] + period[fits]]
