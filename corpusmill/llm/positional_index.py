@@ -27,25 +27,35 @@ of their own. Empty tables give empty results. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.words import arrow_words, parts
-from corpusmill.session import materialized, ship_package
+from corpusmill.session import materialized, ship_package, work_folder
 
 # Fixed by the contract: everything between words, after lowering A-Z.
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 GAP = 64
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 256 << 10
 BLOCK_BYTES = 16 << 20
-CANDIDATES = 1 << 21
-
+CANDIDATES = 1 << 17
+
+BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "16",
+}
+# Pages and row groups are looked at after every row, as a row is a segment; the defaults let a hundred rows pile up.
+FILES = {
+    "parquet.block.size": str(8 << 20),
+    **{f"parquet.{part}.size.row.check.{end}": "1" for part in ("page", "block") for end in ("min", "max")},
+}
 # No text, hence no segment, has more than 2**31 words.
 SEGMENT_SCHEMA = (
     "segment string, ids array<{id}>, starts array<int>, words array<int>, terms array<string>, "
@@ -72,6 +82,19 @@ def _segment(name: str, ids: pa.Array, texts: pa.Array) -> dict:
     }
 
 
+@contextmanager
+def _bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """Texts and segments reach tasks a few megabytes at a time: rows are large, and the default bound counts rows."""
+    before = {key: spark.conf.get(key) for key in BATCHES}
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "index") -> DataFrame:
     """The stored segments of all documents, one row each, read back from the shared folder."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -96,15 +119,20 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 )
 
     ship_package()
-    return materialized(rows.mapInArrow(run, SEGMENT_SCHEMA.format(id=kind)), name)
+    spark, path = docs.sparkSession, work_folder(docs.sparkSession, name)
+    segments = rows.mapInArrow(run, SEGMENT_SCHEMA.format(id=kind))
+    with _bounded_batches(spark):
+        segments.write.options(**FILES).parquet(path)
+    return spark.read.schema(segments.schema).parquet(path)
 
 
 @dataclass
 class Postings:
-    """The positions of one segment, term by term, as one ascending list of term * span + position."""
+    """The positions of one segment, term by term, as one ascending list of term * span + position, and a last key."""
 
     terms: pa.Array
     ends: np.ndarray
+    begins: np.ndarray
     keys: np.ndarray
     span: int
 
@@ -112,23 +140,22 @@ class Postings:
     def of(cls, terms: pa.Array, ends: np.ndarray, positions: np.ndarray) -> Postings:
         ends = ends.astype(np.int64)
         span = int(positions.max(initial=0)) + 2 * GAP
-        sizes = np.diff(ends, prepend=0)
-        return cls(terms, ends, np.repeat(np.arange(len(ends)) * span, sizes) + positions, span)
+        begins = np.concatenate([[0], ends])[:-1]
+        keys = np.append(positions.astype(np.int64), np.iinfo(np.int64).max)
+        keys[:-1] += np.repeat(np.arange(len(ends)) * span, ends - begins)
+        return cls(terms, ends, begins, keys, span)
 
     def sizes(self, codes: np.ndarray) -> np.ndarray:
         """Lengths of the terms' lists; 0 for -1, a term the segment lacks."""
-        sizes = np.concatenate([np.diff(self.ends, prepend=0), [0]])
-        return sizes[codes]
+        return np.append(self.ends - self.begins, 0)[codes]
 
     def positions(self, code: np.ndarray, k: np.ndarray) -> np.ndarray:
         """The k-th position of each term."""
-        return self.keys[self.ends[code] - np.diff(self.ends, prepend=0)[code] + k] - code * self.span
+        return self.keys[self.begins[code] + k] - code * self.span
 
     def next_at(self, code: np.ndarray, position: np.ndarray) -> np.ndarray:
         """The term's first position not before the given one, or one beyond every position."""
-        key = code * self.span + position
-        at = np.searchsorted(self.keys, key)
-        found = np.concatenate([self.keys, [np.iinfo(np.int64).max]])[at]
+        found = self.keys[np.searchsorted(self.keys, code * self.span + position)]
         beyond = found >= (code + 1) * self.span
         return np.where(beyond, np.iinfo(np.int64).max, found - code * self.span)
 
@@ -314,7 +341,8 @@ def search(
     for number in range(n_blocks):
         chosen = queries.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == number).collect()
         block = Block.of([r["id"] for r in chosen], [r["text"] for r in chosen], window)
-        matches = materialized(_search(index, block, width), "matches")
+        with _bounded_batches(items.sparkSession):
+            matches = materialized(_search(index, block, width), "matches")
         found = matches if found is None else found.unionByName(matches)
     return found
 
