@@ -33,6 +33,7 @@ FRAME_OVERHEAD = 8
 MILESTONE_ROWS = 100
 
 DENSE_KEY = (16, 36)  # record positions: neighbours share a bucket
+PROBE_KEYS, PROBE_GROWTH = 1 << 16, 8  # keys of the first range that is totalled for a budget; growth of the next
 HASH_KEY = (28, 40)  # 52-bit hashes: 2**24 buckets, filled evenly
 
 
@@ -155,27 +156,63 @@ def with_position(
 
 @dataclass(frozen=True)
 class Cut:
-    """Where a budget is reached: the last key taken and the total before it."""
+    """Where a budget is reached: the last key taken, none if all rows are, and the total before it."""
 
-    key: int
+    key: int | None
     before: int
 
 
-def budget_cut(df: DataFrame, key: str, cost: Column, budget: int) -> Cut | None:
+def _range(key: str, after: int | None, to: int) -> Column:
+    inside = F.col(key) <= to
+    return inside if after is None else inside & (F.col(key) > after)
+
+
+def _probed(sized: DataFrame, budget: int, start: int | None) -> tuple[int | None, int | None, int]:
+    """The keys (after, to] in which the total reaches the budget, and the total before; ``to`` is None if it does not.
+
+    Ranges of keys are totalled from the start on. A range is as wide as the bytes per key of the last one promise for
+    the rest of the budget, at most ``PROBE_GROWTH`` times as wide as that one. So of a table stored in key order about
+    the budget is read, whatever its size: the scan skips what lies beyond by the key's statistics.
+    """
+    after = None if start is None else start - 1
+    width = PROBE_KEYS
+    to = (start or 0) + width - 1
+    taken = 0
+    while True:
+        total = sized.where(_range("key", after, to)).agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
+        if taken + total >= budget:
+            return after, to, taken
+        if sized.where(F.col("key") > to).isEmpty():
+            return after, None, taken + total
+        taken += total
+        promised = (budget - taken) * width * 9 // (8 * total) if total else width * PROBE_GROWTH
+        width = min(max(promised, PROBE_KEYS), width * PROBE_GROWTH)
+        after, to = to, to + width
+
+
+def budget_cut(df: DataFrame, key: str, cost: Column, budget: int, start: int | None = None) -> Cut | None:
     """The last record taken when records are taken in key order until the budget is reached.
 
-    Bucket totals name the one bucket in which that happens; only its rows are ordered.
+    ``start`` is a key before which there are no records. Totals of growing key ranges name the range in which the
+    budget is reached, bucket totals inside it the one bucket; only its rows are ordered.
     """
+    if budget <= 0:
+        return None
     fine, coarse = DENSE_KEY
     sized = df.select(F.col(key).cast("bigint").alias("key"), cost.cast("bigint").alias("bytes"))
+    if not sized.where("key IS NULL").isEmpty():
+        raise ValueError(f"null order key: {key}")
+    after, to, taken = _probed(sized, budget, start)
+    if to is None:
+        return Cut(None, taken)
+    near = sized.where(_range("key", after, to))
     costs = {"bytes": F.col("bytes")}
-    offsets = _bucket_offsets(_bucket_totals(sized, "key", costs, fine), costs, coarse - fine)
-    last = offsets.where(F.col("_o_bytes") < budget).orderBy(F.desc("_b")).limit(1).first()
-    if last is None:
-        return None
-    inside = sized.where(F.col("key").between(last["_first"], last["_last"]))
-    earlier = W.partitionBy(F.lit(0)).orderBy("key").rowsBetween(W.unboundedPreceding, -1)
-    before = F.lit(last["_o_bytes"]) + F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
+    offsets = _bucket_offsets(_bucket_totals(near, "key", costs, fine), costs, coarse - fine)
+    last = offsets.where(F.col("_o_bytes") < budget - taken).orderBy(F.desc("_b")).limit(1).first()
+    inside = near.where(F.col("key").between(last["_first"], last["_last"]))
+    # The rows of one bucket, at most 2**16.
+    earlier = W.partitionBy(F.shiftright("key", fine)).orderBy("key").rowsBetween(W.unboundedPreceding, -1)
+    before = F.lit(taken + last["_o_bytes"]) + F.coalesce(F.sum("bytes").over(earlier), F.lit(0))
     found = (
         inside.select("key", before.alias("before"))
         .where(F.col("before") < budget)
@@ -186,13 +223,16 @@ def budget_cut(df: DataFrame, key: str, cost: Column, budget: int) -> Cut | None
     return Cut(found["key"], found["before"])
 
 
-def within_budget(df: DataFrame, key: str, cost: Column, budget: int) -> DataFrame:
+def within_budget(df: DataFrame, key: str, cost: Column, budget: int, start: int | None = None) -> DataFrame:
     """Rows taken in key order until their total reaches the budget; the last may overshoot it.
 
-    They are a range of keys, so the result is a filter the scan can use, and no row moves.
+    They are a range of keys, so the result is a filter the scan can use, and no row moves. A table that is stored in
+    key order is read up to the budget only, see ``budget_cut``.
     """
-    cut = budget_cut(df, key, cost, budget)
-    return df.where(F.lit(False) if cut is None else F.col(key) <= cut.key)
+    cut = budget_cut(df, key, cost, budget, start)
+    if cut is None:
+        return df.where(F.lit(False))
+    return df if cut.key is None else df.where(F.col(key) <= cut.key)
 
 
 def byte_prefix(df: DataFrame, key: str, data: str, n_bytes: int) -> DataFrame:
@@ -204,6 +244,8 @@ def byte_prefix(df: DataFrame, key: str, data: str, n_bytes: int) -> DataFrame:
     cut = budget_cut(df, key, F.octet_length(data) + 1, n_bytes)
     if cut is None:
         return df.where(F.lit(False)).withColumn("piece", line)
+    if cut.key is None:
+        return df.withColumn("piece", line)
     room = min(n_bytes - cut.before, 2**31 - 1)
     piece = F.when(F.col(key) < cut.key, line).otherwise(F.substring(line, 1, room))
     return df.where(F.col(key) <= cut.key).withColumn("piece", piece)

@@ -13,14 +13,18 @@ from corpusmill.sinks import chunks
 def budgeted(
     records: DataFrame, target_bytes: int | None, start: chunks.ResumePoint = chunks.ResumePoint(0, 0)
 ) -> DataFrame:
-    """(pos, content) from the start position until the framed size reaches the target; all of them without one."""
+    """(pos, content) from the start position until the framed size reaches the target; all of them without one.
+
+    Positions are not negative. Neither what was written before the start nor what lies beyond the target is read, if
+    the records are stored in their order.
+    """
     encoded = ordering.resume_from(records, "pos", start.pos).select(
         "pos", encodable_bytes(F.col("content")).alias("content")
     )
     if target_bytes is None:
         return encoded
     left = max(target_bytes - start.bytes, 0)
-    return ordering.within_budget(encoded, "pos", framed_size(F.col("content")), left).select("pos", "content")
+    return ordering.within_budget(encoded, "pos", framed_size(F.col("content")), left, start.pos).select("pos", "content")
 
 
 def build(

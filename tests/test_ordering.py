@@ -115,3 +115,44 @@ def test_shuffle_is_a_permutation_that_ignores_partitioning(spark):
     assert sorted(order.values()) == list(range(500)) and order != {i: i for i in range(500)}
     other = {r.id: r.pos for r in ordering.seeded_shuffle(spark.range(500), "id", 43).collect()}
     assert other != order
+
+
+def records_read(spark, group, work):
+    """Rows that the tasks of a piece of work read from files."""
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    result = work()
+    tracker, store = context.statusTracker(), context._jsc.sc().statusStore()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    read = 0
+    for stage in stages:
+        try:
+            read += store.lastStageAttempt(stage).inputRecords()
+        except Exception:  # a skipped stage has no attempt
+            continue
+    context.setLocalProperty("spark.jobGroup.id", None)
+    return result, read
+
+
+def test_a_budget_reads_about_what_it_takes(spark, tmp_path, monkeypatch):
+    """The same budget on tables of 200,000 and 800,000 rows reads the same number of rows."""
+    monkeypatch.setattr(ordering, "PROBE_KEYS", 1000)
+    counts = {}
+    for n in (200_000, 800_000):
+        path = str(tmp_path / str(n))
+        spark.range(0, n, 1, n // 5000).selectExpr("id AS k", "id % 50 + 1 AS size").write.parquet(path)
+        table = spark.read.parquet(path)
+        for start, budget in ((0, 300_000), (100_000, 300_000)):
+            rest = table.where(F.col("k") >= start)
+            name = f"budget-{n}-{start}"
+            cut, counts[n, start] = records_read(spark, name, lambda: ordering.budget_cut(rest, "k", F.col("size"), budget, start))  # noqa: B023
+            total, expected = 0, start - 1
+            while total < budget:
+                expected += 1
+                total += expected % 50 + 1
+            assert cut == ordering.Cut(expected, total - expected % 50 - 1)
+    taken = 300_000 / 25.5
+    assert all(read < 6 * taken + 10 * 5000 for read in counts.values()), counts
+    assert counts[800_000, 0] <= counts[200_000, 0] + 20_000 and counts[800_000, 100_000] <= counts[200_000, 100_000] + 20_000
+    everything = ordering.within_budget(table, "k", F.col("size"), 10**9)
+    assert everything.count() == 800_000
