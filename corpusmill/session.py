@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 
 
 def build_session(app: str = "corpusmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,6 +51,23 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Schemes under which Hadoop and Arrow know the same file system.
+SAME_SCHEME = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path on Spark's own file system, under a scheme that Python tasks can open; any other is refused."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    scheme, rest = system.makeQualified(hadoop).toString().split(":", 1)
+    uri = f"{SAME_SCHEME.get(scheme, scheme)}:{rest}"
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
+        raise ValueError(f"Python tasks cannot open {uri}: {error}") from error
+    return uri
+
+
 def ship_package() -> None:
     """Let this package's Python helpers travel with the job instead of being installed on executors."""
     import corpusmill
@@ -55,6 +75,16 @@ def ship_package() -> None:
     cloudpickle.register_pickle_by_value(corpusmill)
 
 
+def register(spark: SparkSession, source: type[DataSource]) -> None:
+    """Make a Python data source known to the session and ship it to the tasks.
+
+    Spark looks sources up in the active session of the calling thread, which a thread of its own still lacks.
+    """
+    ship_package()
+    spark.dataSource.register(source)
+    getattr(spark._jvm, "org.apache.spark.sql.classic.SparkSession").setActiveSession(spark._jsparkSession)
+
+
 def materialized(df: DataFrame, name: str = "table") -> DataFrame:
     """The rows written once to the shared folder and read back.
 
