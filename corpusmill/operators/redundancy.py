@@ -103,13 +103,16 @@ def _statistics() -> list[Column]:
 def block_statistics(
     df: DataFrame, group: str, data: str, block_bytes: int | None = BLOCK_BYTES, overall: str = "ALL"
 ) -> DataFrame:
-    """Deduplication per group and over everything; blocks shared by groups are stored once overall."""
+    """Deduplication per group and, in the row marked ``is_total``, over everything.
+
+    Blocks shared by groups are stored once overall.
+    """
     per_group = _blocks_per_group(df, group, data, block_bytes)
     everywhere = per_group.groupBy("fp").agg(
         F.sum("uses").alias("uses"), F.max("size").alias("size"), F.sum("starts").alias("starts")
     )
-    parts = per_group.groupBy("grp").agg(*_statistics())
-    whole = everywhere.agg(*_statistics()).select(F.lit(overall).alias("grp"), "*")
+    parts = per_group.groupBy("grp", F.lit(False).alias("is_total")).agg(*_statistics())
+    whole = everywhere.agg(*_statistics()).select(F.lit(overall).alias("grp"), F.lit(True).alias("is_total"), "*")
     ratio = F.round(F.col("raw_bytes") / F.nullif(F.col("stored_bytes"), F.lit(0)), 4)
     return parts.unionByName(whole).withColumn("dedup_ratio", ratio)
 

@@ -14,23 +14,29 @@ WIKI_GATE_GIB = 20
 
 
 def size_rollup(df: DataFrame, category: str, size: str, overall: str = "ALL") -> DataFrame:
-    """Bytes and file count per category and in total."""
-    label = F.when(F.grouping(category) == 1, F.lit(overall)).otherwise(F.col(category))
+    """Bytes and file count per category and, in the row marked ``is_total``, of everything.
+
+    The mark tells the total from a category of its name, and from the category of null.
+    """
+    total = F.grouping(category) == 1
+    label = F.when(total, F.lit(overall)).otherwise(F.col(category))
     return (
         df.rollup(category)
         .agg(
             F.sum(size).alias("total_bytes"),
             F.count("*").alias("files"),
             label.alias("_label"),
+            total.alias("_total"),
         )
-        .select(F.col("_label").alias("category"), "total_bytes", "files")
+        .select(F.col("_label").alias("category"), F.col("_total").alias("is_total"), "total_bytes", "files")
     )
 
 
 def with_all_categories(rollup: DataFrame, categories: tuple[str, ...] = CATEGORIES, overall: str = "ALL") -> DataFrame:
     """The fixed categories and the total; an empty one shows zero."""
-    wanted = rollup.sparkSession.createDataFrame([(c,) for c in (*categories, overall)], "category string")
-    return wanted.join(rollup, "category", "left").na.fill(0, ["total_bytes", "files"])
+    rows = [*((c, False) for c in categories), (overall, True)]
+    wanted = rollup.sparkSession.createDataFrame(rows, "category string, is_total boolean")
+    return wanted.join(rollup, ["category", "is_total"], "left").na.fill(0, ["total_bytes", "files"])
 
 
 def at_least_gib(df: DataFrame, size: Column, gib: int) -> DataFrame:

@@ -12,11 +12,13 @@ from corpusmill.sinks import append
 def compare(df: DataFrame, group: str, text: str, out: str, block_bytes: int | None = redundancy.BLOCK_BYTES) -> DataFrame:
     """Write the compressed packs below ``out`` and set their sizes beside raw and deduplicated ones."""
     append.write_gzip(df, text, group, out)
-    packed = append.gzip_sizes(df, out, group)
+    packed = append.gzip_sizes(df, out).withColumnsRenamed({"grp": "_grp", "is_total": "_total"})
     stats = redundancy.block_statistics(df, group, text, block_bytes)
-    packed = packed.withColumnRenamed("grp", "_grp")
-    return stats.join(packed, stats["grp"].eqNullSafe(packed["_grp"]), "left").select(
+    same = F.col("grp").eqNullSafe(F.col("_grp")) & (F.col("is_total") == F.col("_total"))
+    return stats.join(packed, same, "left").select(
         "grp",
+        "is_total",
+        "members",
         "files",
         "raw_bytes",
         "gz_bytes",

@@ -1,12 +1,14 @@
+import gzip
 import os
 import random
 from urllib.parse import urlparse
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.plans import code
-from corpusmill.session import work_folder
+from corpusmill.plans import code, measure
+from corpusmill.session import qualified, work_folder
 from corpusmill.sinks import append, chunks, jsonl
 from corpusmill.sources import files
 
@@ -58,10 +60,59 @@ def test_a_failed_run_commits_nothing(spark):
     with pytest.raises(Exception, match="lost"):
         chunks.write_chunks(broken.select("pos", F.col("content").cast("binary")), folder, rows_per_chunk=20)
     assert chunks.resume_point(spark, folder, 20) == chunks.ResumePoint(0, 0)
+    root = urlparse(folder).path
+    left = [f for _, _, names in os.walk(root) for f in names] if os.path.exists(root) else []
+    assert left == []
     code.build(spark, frame, folder, rows_per_chunk=20)
     assert b"".join(chunk_bytes(folder).values()) == b"".join(python_frames(rows))
 
 
+def test_a_commit_removes_what_a_lost_attempt_staged(spark, tmp_path):
+    """A task that was run twice: only the attempt whose message Spark kept is put in place."""
+    writer = chunks.ChunkWriter(str(tmp_path), "run")
+    batch = pa.RecordBatch.from_pydict(
+        {"chunk": pa.array([0, 0, 1], pa.int64()), "pos": pa.array([0, 1, 2], pa.int64()), "name": ["stream_00000.bin"] * 2 + ["stream_00001.bin"],
+         "frame": pa.array([b"\x01" + bytes(7) + b"a", bytes(8), b"\x02" + bytes(7) + b"bc"], pa.binary())}
+    )
+    lost = writer.write(iter([batch.slice(0, 1)]))
+    assert lost.entries and os.listdir(tmp_path / "_staged" / "run")
+    writer.commit([writer.write(iter([batch.slice(0, 1), batch.slice(1)])), None])
+    assert chunk_bytes(str(tmp_path)) == {"stream_00000.bin": b"\x01" + bytes(7) + b"a" + bytes(8), "stream_00001.bin": b"\x02" + bytes(7) + b"bc"}
+    assert not os.path.exists(tmp_path / "_staged" / "run")
+    again = chunks.ChunkWriter(str(tmp_path), "again")
+    again.write(iter([batch]))
+    again.abort([None])
+    assert not os.path.exists(tmp_path / "_staged" / "again")
+    manifest = {m.chunk: (m.records, m.bytes, m.first_pos, m.last_pos) for m in chunks.read_manifest(spark, str(tmp_path)).collect()}
+    assert manifest == {0: (2, 17, 0, 1), 1: (1, 10, 2, 2)}
+
+
+def test_one_chunk_is_read_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "MARK_BYTES", 5_000)
+    rows = [(i, random.Random(i).choice(["", "é" * 50, "x" * 9_000])) for i in range(60)]
+    folder = work_folder(spark, "marked")
+    code.build(spark, spark.createDataFrame(rows, "pos BIGINT, content STRING").coalesce(3), folder, rows_per_chunk=50)
+    marks = {m.chunk: m.marks for m in chunks.read_manifest(spark, folder).collect()}
+    pieces = chunks.chunk_pieces(spark, folder).collect()
+    assert len(pieces) == sum(map(len, marks.values())) > 10 and marks[0][0].row == marks[0][0].at == 0
+    back = chunks.read_chunks(spark, folder)
+    assert back.select(F.spark_partition_id()).where("chunk_file = 'stream_00000.bin'").distinct().count() > 1
+    got = back.orderBy("chunk_file", "row_in_chunk").collect()
+    assert [bytes(r.content).decode() for r in got] == [t for _, t in rows]
+    assert [r.row_in_chunk for r in got] == [*range(50), *range(10)]
+
+
+def test_a_path_lies_on_the_default_file_system_or_is_refused(spark, tmp_path):
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    spark.conf.set("fs.defaultFS", "viewfs://nowhere")
+    spark.conf.set("fs.viewfs.mounttable.nowhere.link./a", f"file://{tmp_path}")
+    try:
+        with pytest.raises(ValueError, match="cannot open viewfs://nowhere/a/chunks"):
+            qualified(spark, "/a/chunks")
+    finally:
+        spark.conf.unset("fs.defaultFS")
+
+
 def test_truncated_chunk_is_reported(spark):
     _, frame = records(spark, 10)
     folder = work_folder(spark, "cut")
@@ -112,14 +163,42 @@ def test_gzip_packs_and_sizes(spark):
     frame = spark.createDataFrame([("a", "x" * 1000), ("b", "y" * 10)], "g STRING, t STRING")
     folder = work_folder(spark, "packs")
     append.write_gzip(frame, "t", "g", folder)
-    sizes = {r.grp: r.gz_bytes for r in append.gzip_sizes(frame, folder, "g").collect()}
+    sizes = {r.grp: r.gz_bytes for r in append.gzip_sizes(frame, folder).collect()}
     assert set(sizes) == {"a", "b", "ALL"} and sizes["a"] < 1000
     assert spark.read.text(f"{folder}/whole").count() == 2
 
 
 def test_compared_groups_keep_escaped_and_null_names(spark, tmp_path):
-    groups = ["plain", "a:b", "sp ace", "a+b", "50%", None]
+    groups = ["plain", "a:b", "sp ace", "a+b", "50%", None, "", "n", "v", "(all)", "__HIVE_DEFAULT_PARTITION__", "é/="]
     rows = spark.createDataFrame([(g, f"text {k}") for k, g in enumerate(groups)], "g string, t string")
     append.write_gzip(rows, "t", "g", str(tmp_path / "out"))
-    sizes = append.gzip_sizes(rows, str(tmp_path / "out"), "g", overall="(all)").collect()
-    assert {r.grp for r in sizes} == {*groups, "(all)"} and all(r.gz_bytes > 0 for r in sizes)
+    sizes = append.gzip_sizes(rows, str(tmp_path / "out"), overall="(all)").collect()
+    assert len(sizes) == len(groups) + 1 and all(r.gz_bytes > 0 and r.members == 1 for r in sizes)
+    assert {(r.grp, r.is_total) for r in sizes} == {*((g, False) for g in groups), ("(all)", True)}
+    compared = measure.compare(rows, "g", "t", str(tmp_path / "again")).collect()
+    assert len(compared) == len(groups) + 1 and all(r.gz_bytes > 0 and r.raw_bytes > 0 for r in compared)
+    assert sum(r.is_total for r in compared) == 1
+
+
+def test_packs_follow_bytes_not_tasks(spark, tmp_path):
+    """Small groups of many tasks have one file each, a group of most rows has several, of bounded length."""
+    rows = spark.range(0, 60_000, 1, 24).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN concat('s', id % 7) ELSE 'hot' END AS g", "sha2(string(id), 256) AS t"
+    )
+    # So many partitions that the large group has one for itself.
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512k", "spark.sql.shuffle.partitions": "200"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    append.write_gzip(rows, "t", "g", str(tmp_path / "packs"), rows_per_member=15_000)
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    index = append.read_index(spark, str(tmp_path / "packs")).where("not is_total").collect()
+    members = {}
+    for entry in index:
+        members.setdefault(entry.grp, []).append(entry.gz_bytes)
+    assert set(members) == {"hot", *(f"s{k}" for k in range(7))}
+    assert all(len(m) <= 2 for g, m in members.items() if g != "hot") and 3 <= len(members["hot"]) < 24
+    for entry in index:
+        assert len(gzip.open(tmp_path / "packs" / "parts" / entry.member).readlines()) <= 15_000
+    assert spark.read.text(f"{tmp_path}/packs/whole").count() == spark.read.text(f"{tmp_path}/packs/parts").count() == 60_000
