@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -96,8 +97,26 @@ def map_batches(
 
 
 def collate_batches(
-    df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str
+    df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, key: str = "batch"
 ) -> DataFrame:
-    """Apply a user function to each batch of rows; batches have a fixed number of rows."""
+    """Apply a user function to each batch of rows; batches have a fixed number of rows.
+
+    Rows are dealt by batch and sorted, and a task runs through its batches in one pass over Arrow batches, each
+    converted once; the batch that an Arrow batch cuts off is carried over to the next.
+    """
     ship_package()
-    return df.groupBy("batch").applyInPandas(function, schema)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            keys = frame[key].to_numpy()
+            starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()] if len(keys) else [0]
+            done = [function(frame.iloc[at:to]) for at, to in zip(starts[:-1], starts[1:], strict=True)]
+            if done:
+                yield pd.concat(done, ignore_index=True)
+            held = frame.iloc[starts[-1] :]
+        if held is not None and len(held):
+            yield function(held)
+
+    return df.repartition(key).sortWithinPartitions(key).mapInPandas(run, schema)

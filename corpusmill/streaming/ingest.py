@@ -87,22 +87,3 @@ def append_counted(lines: DataFrame, target: str, progress: str, checkpoint: str
         .start()
     )
     query.awaitTermination()
-
-
-def with_progress(lines: DataFrame, text: str = "value", name: str = "progress") -> DataFrame:
-    """Count rows and bytes while they pass by, without a second job."""
-    return lines.observe(
-        name,
-        F.count("*").alias("records"),
-        F.sum(F.octet_length(text).cast("bigint")).alias("bytes"),
-    )
-
-
-def progress_rows(query: StreamingQuery, name: str = "progress") -> list[tuple[int, int, int]]:
-    """(batch, records, bytes) of the query's recent batches: a few numbers each."""
-    rows = []
-    for progress in query.recentProgress:
-        observed = progress["observedMetrics"].get(name)
-        if observed is not None:
-            rows.append((int(progress["batchId"]), int(observed["records"]), int(observed["bytes"] or 0)))
-    return rows

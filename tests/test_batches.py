@@ -86,3 +86,21 @@ def test_user_functions(spark):
 
     collated = batches.collate_batches(batches.into_batches(df.drop("text"), "id"), total, "batch BIGINT, n BIGINT")
     assert sorted(r.n for r in collated.collect()) == [3] + [8] * 25
+
+
+def test_collated_batches_are_carried_over_arrow_batches(spark):
+    """Whatever an Arrow batch holds, the function sees each batch whole and once, by one narrow pass after the sort."""
+    rows = spark.range(5000).selectExpr("id", "id % 7 * 1000 + id % 90 AS batch")
+    want = {r.batch: r.n for r in rows.groupBy("batch").agg(F.count("*").alias("n")).collect()}
+
+    def whole(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"batch": part["batch"].iloc[:1], "n": [len(part)], "kinds": [part["batch"].nunique()]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    collated = batches.collate_batches(rows, whole, "batch BIGINT, n BIGINT, kinds BIGINT")
+    got = collated.collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r.batch: r.n for r in got} == want and len(got) == len(want) and {r.kinds for r in got} == {1}
+    plan = collated._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "FlatMapGroups" not in plan
+    assert batches.collate_batches(rows.limit(0), whole, "batch BIGINT, n BIGINT, kinds BIGINT").count() == 0

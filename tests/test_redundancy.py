@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from corpusmill.functions.corruption import flip_low_bits
-from corpusmill.operators import redundancy, replicate
+from corpusmill.operators import redundancy, replicate, skew
 from corpusmill.operators.skew import join_per_key
 from corpusmill.session import work_folder
 from corpusmill.sinks import store
@@ -133,7 +133,7 @@ def test_exact_duplicates(spark):
 def test_salted_join_keeps_every_row_of_hot_keys(spark):
     rows = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
     counts = rows.groupBy("k").agg(F.count("*").alias("n"))
-    joined = join_per_key(rows, counts, "k", "n", ("id",), hot_keys=5, salts=8)
+    joined = join_per_key(rows, counts, "k", "n", ("id",), hot_keys=5, least_share=1_000)
     assert joined.count() == 30_000
     assert joined.where("k = 0").agg(F.count("*"), F.min("n"), F.max("n")).first() == (10_000, 10_000, 10_000)
 
@@ -146,3 +146,37 @@ def test_store_restores_every_record(spark):
         store.write_store(frame, "id", "text", folder, size)
         got = {r.id: bytes(r.content) for r in store.restored_records(spark, folder, "id").collect()}
         assert got == {i: t.encode() for i, _, t in rows}
+
+
+def test_salts_follow_the_weight(spark):
+    """Keys of a third, a tenth and a hundredth of all rows are dealt in shares of about the same size."""
+    rows = spark.range(100_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'third' WHEN id % 10 = 1 THEN 'tenth' WHEN id % 100 = 2 THEN 'few' ELSE string(id) END AS k"
+    )
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    joined = join_per_key(rows, counts, "k", "n", ("id",), hot_keys=100, least_share=10)
+    dealt, keys = skew._salted(rows, counts, "k", "n", ("id",), 100, 10)
+    held = dealt.groupBy("k", "_salt").agg(F.count("*").alias("n")).collect()
+    assert max(r.n for r in held) < 1_200 and sum(r.n for r in held) == 100_000
+    assert {r.k: r.s for r in keys.where("length(k) < 6 AND k > 'a'").groupBy("k").agg(F.count("*").alias("s")).collect()} == {
+        "third": 34, "tenth": 7, "few": 1,
+    }
+    assert joined.groupBy("k").agg(F.count("*").alias("c"), F.max("n").alias("n")).where("c <> n").count() == 0
+    assert joined.count() == 100_000
+    empty = join_per_key(rows.limit(0), counts.limit(0), "k", "n", ("id",))
+    assert empty.count() == 0
+
+
+def test_group_stores_and_the_whole(spark):
+    rows = [*corpus(3), (300, None, "null group\n")]
+    frame = spark.createDataFrame(rows, "id BIGINT, grp STRING, text STRING")
+    folder = work_folder(spark, "stores")
+    store.write_group_stores(frame, "grp", "id", "text", folder, None)
+    sizes = {(r.grp, r.is_total): (r.unique_blocks, r.stored_bytes) for r in store.group_store_sizes(spark, folder, "grp").collect()}
+    for group in {r[1] for r in rows} - {"empty"}:
+        blocks = {b for _, g, t in rows if g == group for b in python_blocks(t, None)}
+        assert sizes[group, False] == (len(blocks), sum(map(len, blocks)))
+    blocks = {b for *_, t in rows for b in python_blocks(t, None)}
+    assert sizes["ALL", True] == (len(blocks), sum(map(len, blocks)))
+    got = {r.id: bytes(r.content) for r in store.restored_records(spark, f"{folder}/whole", "id").collect()}
+    assert got == {i: t.encode() for i, _, t in rows}
