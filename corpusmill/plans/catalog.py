@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Callable
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import names, text, tokens
 from corpusmill.functions.frames import frame, framed_size
 from corpusmill.functions.wikitext import strip_markup
-from corpusmill.operators import batches, ordering, redundancy, replicate, sizes
+from corpusmill.operators import batches, ordering, overlap, redundancy, replicate, sizes
 from corpusmill.plans import code, measure, staged, wiki
-from corpusmill.session import materialized, spread, work_folder
-from corpusmill.sinks import append, chunks, jsonl, store
-from corpusmill.sources import files, mediawiki
+from corpusmill.session import materialized, qualified, spread, work_folder
+from corpusmill.sinks import append, chunks, jsonl, rejects, store
+from corpusmill.sources import files, mediawiki, spans
 from corpusmill.sources import text as text_source
 from corpusmill.sources.tables import read_table, record_stream
 from corpusmill.streaming import blockstore, ingest
@@ -31,7 +33,7 @@ MILESTONE_TARGET = 10 * 1024**2
 SMALL_BLOCK = 256
 OVERLAP_BLOCK = 64
 PATH_PREFIX = "https://mirror.example.org/"
-TALK_SOURCE, REDIRECT_SOURCE, BLANKED_LANG = "src3", "src7", "de"
+TALK_SOURCE, REDIRECT_SOURCE, BLANKED_LANG, BROKEN_LANG = "src3", "src7", "de", "fr"
 
 # Text wrapped in markup that exercises every cleaning rule; {name} stands for a column.
 WRAPPED = [
@@ -111,8 +113,8 @@ def _escaped(column: Column) -> Column:
     return column
 
 
-def _dump(spark: SparkSession, sf: str, revisions: list[Column]) -> str:
-    """The documents written as a bz2 page dump."""
+def _dump(spark: SparkSession, sf: str, revisions: list[Column], broken: Column | None = None) -> str:
+    """The documents written as a bz2 page dump; ``broken`` tells which of them get a malformed page."""
     redirect = F.when(F.col("source") == REDIRECT_SOURCE, '<redirect title="elsewhere" />').otherwise("")
     ns = F.when(F.col("source") == TALK_SOURCE, "1").otherwise("0")
     texts = [
@@ -123,6 +125,8 @@ def _dump(spark: SparkSession, sf: str, revisions: list[Column]) -> str:
         F.lit("  <page>\n<title>Doc &amp; "), F.col("doc_id"), F.lit("</title><ns>"), ns,
         F.lit("</ns><id>"), F.col("doc_id"), F.lit("</id>"), redirect, *texts, F.lit("</page>"),
     )
+    if broken is not None:
+        page = F.when(broken, F.concat(F.lit("<page><id>"), F.col("doc_id"), F.lit("</title></page>"))).otherwise(page)
     folder = work_folder(spark, "dump")
     pages = spread(documents(spark, sf, "doc_id", "lang", "source", "text")).select(page.alias("value"))
     pages.write.option("compression", "bzip2").text(folder)
@@ -141,6 +145,19 @@ def history_last_revision(spark: SparkSession, sf: str) -> DataFrame:
     return mediawiki.articles(pages)
 
 
+@query
+def rejected_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of one language are malformed: articles and rejects from one pass over the dump."""
+    dump = _dump(spark, sf, [F.col("text")], F.col("lang").eqNullSafe(F.lit(BROKEN_LANG)))
+    parted = wiki.extract_with_rejects(spark, dump)
+    size = F.coalesce(F.sum(size_of("text")), F.lit(0))
+    kept = parted.kept.select(F.lit("kept").alias("status"), "text")
+    rejected = parted.rejected.select("cause", F.lit(None).cast("string").alias("text"))
+    return kept.unionByName(rejected.withColumnRenamed("cause", "status")).groupBy("status").agg(
+        F.count("*").alias("pages"), size.alias("n_bytes")
+    )
+
+
 # ---- order, budgets, chunks, shards -----------------------------------------------------------------
 
 
@@ -149,7 +166,6 @@ def byte_budget_prefix(spark: SparkSession, sf: str) -> DataFrame:
     sized = documents(spark, sf, "doc_id", "text").select(
         "doc_id", framed_size(F.col("text").cast("binary")).alias("framed_bytes")
     )
-    sized = materialized(sized, "sizes")
     size = F.col("framed_bytes")
     return ordering.within_budget(sized, "doc_id", size, half_of(sized, size))
 
@@ -193,21 +209,38 @@ def seeded_shuffle(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def concatenated_gzip_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Documents written as gzip text files in order, read back as one numbered line stream."""
-    lines = text_source.read_lines(spark, _gzip_text(spark, sf))
-    return text_source.with_line_position(lines).select("pos", F.col("value").alias("line"))
+    found = spans.spans_of(spark, _gzip_text(spark, sf))
+    return spans.with_position(spark, found).select("pos", F.col("value").alias("line"))
+
+
+@query
+def tolerant_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Two damaged files among the documents' gzip files: the lines read, and each damaged file with its cause."""
+    folder = _gzip_text(spark, sf)
+    for name, raw in (("zz-cut.txt.gz", gzip.compress(b"lost")[:12]), ("zz-plain.txt.gz", b"not compressed")):
+        system, root = pafs.FileSystem.from_uri(qualified(spark, folder))
+        with system.open_output_stream(f"{root}/{name}", compression=None) as out:
+            out.write(raw)
+    found = spans.spans_of(spark, folder)
+    lines = spans.read_spans(spark, found, tolerant=True)
+    parted = rejects.part(lines.join(F.broadcast(spans.files_of(spark, found)), "part"), "lines")
+    good = parted.kept.agg(F.lit("").alias("name"), F.count("*").alias("lines"), F.sum(size_of("value")).alias("n_bytes"))
+    cause = F.substring_index("cause", ":", 1)
+    bad = parted.rejected.select(names.basename(F.col("path")).alias("name"), F.lit(0).alias("lines"), F.lit(0).alias("n_bytes"), cause.alias("cause"))
+    return good.withColumn("cause", F.lit(None).cast("string")).unionByName(bad)
 
 
 @query
 def stream_head_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    lines = text_source.read_lines(spark, _gzip_text(spark, sf))
     table = documents(spark, sf, "text")
-    head = text_source.head_bytes(lines, half_of(table, size_of("text") + 1))
+    found = spans.spans_of(spark, _gzip_text(spark, sf))
+    head = spans.head_bytes(spark, found, half_of(table, size_of("text") + 1))
     return head.select("pos", F.hex("piece").alias("piece"))
 
 
 def _gzip_text(spark: SparkSession, sf: str) -> str:
     folder = work_folder(spark, "gzip-text")
-    ordered = documents(spark, sf, "doc_id", "text").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    ordered = documents(spark, sf, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.select("text").write.option("compression", "gzip").text(folder)
     return folder
 
@@ -246,7 +279,7 @@ def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
     documents(spark, sf, "source", "text").write.partitionBy("source").text(folder)
     found = files.inventory(spark, folder, "*.txt")
     return sizes.size_rollup(found, "category", "length").select(
-        "category", "total_bytes", (F.col("files") > 0).alias("has_files")
+        "category", "is_total", "total_bytes", (F.col("files") > 0).alias("has_files")
     )
 
 
@@ -353,6 +386,17 @@ def near_duplicate_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return redundancy.variant_overlap(base, pieces, "doc_id", "variant", replicate.VARIANTS)
 
 
+@query
+def block_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's links to any others that share half of their byte blocks."""
+    return overlap.block_overlap(spread(documents(spark, sf, "doc_id", "text")), "doc_id", "text", OVERLAP_BLOCK)
+
+
+@query
+def line_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap.block_overlap(spread(documents(spark, sf, "doc_id", "text")), "doc_id", "text", None)
+
+
 @query
 def append_logs(spark: SparkSession, sf: str) -> DataFrame:
     logs = replicate.append_logs(documents(spark, sf, "doc_id", "text"), "doc_id", "text")
@@ -422,6 +466,16 @@ def compression_compare(spark: SparkSession, sf: str) -> DataFrame:
     return measure.compare(table, "source", "text", work_folder(spark, "packs"))
 
 
+@query
+def compression_gain(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison without the compressor's own byte counts, which only it can tell."""
+    smaller = F.col("gz_bytes") < F.col("raw_bytes")
+    return compression_compare(spark, sf).select(
+        "grp", "is_total", "files", "raw_bytes", "stored_bytes", "stored_share", smaller.alias("smaller"),
+        (F.col("members") > 0).alias("packed"),
+    )
+
+
 # ---- frames, chunk files, shards, appends -----------------------------------------------------------
 
 
@@ -598,7 +652,7 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def streaming_progress(spark: SparkSession, sf: str) -> DataFrame:
     folder, target, rows, checkpoint = (work_folder(spark, f"progress-{n}") for n in ("in", "out", "rows", "state"))
-    documents(spark, sf, "text").repartition(4).write.text(folder)
+    spread(documents(spark, sf, "text")).write.text(folder)
     lines = ingest.new_lines(spark, folder, "*.txt", files_per_batch=2)
     ingest.append_counted(lines, target, rows, checkpoint)
     return spark.read.schema("records BIGINT, bytes BIGINT").parquet(rows).agg(
@@ -609,7 +663,7 @@ def streaming_progress(spark: SparkSession, sf: str) -> DataFrame:
 def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "documents")
     table = documents(spark, sf, "doc_id", "text")
-    table.repartition(4, "doc_id").write.parquet(folder)
+    spread(table).write.parquet(folder)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 2).parquet(folder)
 
 

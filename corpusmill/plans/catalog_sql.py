@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpusmill.functions import names, tokens, wikitext
 from corpusmill.functions.text import MAX_ARTICLE_BYTES, MIN_ARTICLE_BYTES
 from corpusmill.operators import batches, ordering, replicate, sizes
+from corpusmill.operators.overlap import SIMILARITY
 from corpusmill.operators.redundancy import BLOCK_BYTES
 from corpusmill.plans import catalog as c
 
@@ -65,12 +66,12 @@ def block_stats(blocks: str) -> str:
     per AS (SELECT grp, piece, count(piece) AS uses, max(size) AS size, sum(CASE WHEN block_no = 0 THEN 1 ELSE 0 END) AS starts
             FROM b GROUP BY grp, piece),
     every AS (SELECT 'ALL' AS grp, piece, sum(uses) AS uses, max(size) AS size, sum(starts) AS starts FROM per GROUP BY piece),
-    both_ AS (SELECT * FROM per UNION ALL SELECT * FROM every)
-    SELECT grp, CAST(sum(starts) AS BIGINT) AS files, CAST(sum(uses * size) AS BIGINT) AS raw_bytes,
+    both_ AS (SELECT *, false AS is_total FROM per UNION ALL SELECT *, true FROM every)
+    SELECT grp, is_total, CAST(sum(starts) AS BIGINT) AS files, CAST(sum(uses * size) AS BIGINT) AS raw_bytes,
            CAST(sum(uses) AS BIGINT) AS total_blocks, count(piece) AS unique_blocks,
            CAST(sum(size) AS BIGINT) AS stored_bytes,
            round(CAST(sum(uses * size) AS DOUBLE) / nullif(sum(size), 0), 4) AS dedup_ratio
-    FROM both_ GROUP BY grp"""
+    FROM both_ GROUP BY grp, is_total"""
 
 
 def fixed_stats(size: int, copies: int = 1) -> str:
@@ -81,6 +82,22 @@ def fixed_stats(size: int, copies: int = 1) -> str:
     )
 
 
+def overlaps(blocks: str) -> str:
+    """Links between all documents over their distinct blocks; ``blocks`` gives (doc_id, piece)."""
+    return f"""WITH b AS (SELECT DISTINCT doc_id, piece FROM ({blocks}) WHERE piece IS NOT NULL),
+    s AS (SELECT doc_id, count(*) AS n, string_agg(md5(piece), '' ORDER BY piece) AS held FROM b GROUP BY doc_id),
+    k AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY held) AS class_id FROM s),
+    p AS (SELECT x.doc_id, y.doc_id AS other, count(*) AS c FROM b x JOIN b y ON x.piece = y.piece AND x.doc_id <> y.doc_id GROUP BY ALL),
+    l AS (SELECT p.doc_id, c / (kx.n + ky.n - c) AS j, ky.class_id AS other_class, ky.class_id <> kx.class_id AS apart
+          FROM p JOIN k kx USING (doc_id) JOIN k ky ON ky.doc_id = p.other
+          WHERE 100 * c >= {SIMILARITY} * (kx.n + ky.n - c)),
+    m AS (SELECT doc_id, count(*) AS n_links, max(j) FILTER (WHERE apart) AS best FROM l GROUP BY doc_id),
+    f AS (SELECT doc_id, min(other_class) AS nearest_id FROM l JOIN m USING (doc_id) WHERE apart AND j = best GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n, 0) AS n_blocks, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_links, 0) AS n_links,
+           round(best, 6) AS jaccard, nearest_id
+    FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN f USING (doc_id)"""
+
+
 FLIPPED = f"""base AS ({fixed_blocks(BLOCK_BYTES)}),
     v AS (SELECT doc_id, block_no, piece AS h, strlen(piece) // 2 AS n, variant
           FROM base, range(1, {replicate.VARIANTS + 1}) t(variant) WHERE piece IS NOT NULL),
@@ -196,14 +213,23 @@ SQL: dict[str, str] = {
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS b FROM l)
         SELECT pos, substr(h, 1, 2 * (t - b)) AS piece
         FROM r, (SELECT CAST(sum(strlen(h) // 2) // 2 AS BIGINT) AS t FROM l) WHERE b < t""",
-    "category_size_rollup": """SELECT coalesce(source, 'ALL') AS category, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
+    "rejected_pages": f"""WITH k AS (SELECT coalesce(lang = '{c.BROKEN_LANG}', false) AS broken, {cleaned('text')} AS t,
+          source NOT IN ('{c.TALK_SOURCE}', '{c.REDIRECT_SOURCE}') AS article FROM documents)
+        SELECT CASE WHEN broken THEN 'malformed page' ELSE 'kept' END AS status, count(*) AS pages,
+          CAST(sum(CASE WHEN broken THEN 0 ELSE strlen({truncated('t')}) END) AS BIGINT) AS n_bytes
+        FROM k WHERE broken OR (article AND strlen(t) >= {MIN_ARTICLE_BYTES}) GROUP BY broken""",
+    "tolerant_lines": """SELECT '' AS name, count(*) AS lines, CAST(sum(strlen(line)) AS BIGINT) AS n_bytes, NULL AS cause
+        FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+        UNION ALL VALUES ('zz-cut.txt.gz', 0, 0, 'EOFError'), ('zz-plain.txt.gz', 0, 0, 'BadGzipFile')""",
+    "category_size_rollup": """SELECT CASE WHEN grouping(source) = 1 THEN 'ALL' ELSE source END AS category,
+        grouping(source) = 1 AS is_total, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
         count(*) AS files FROM documents GROUP BY ROLLUP (source)""",
     "size_gate": f"""SELECT t AS total_bytes, t // {names.GIB} AS whole_gib, t // {names.GIB} >= {sizes.WEB_GATE_GIB} AS reuse
         FROM (SELECT CAST(sum(strlen(text)) AS BIGINT) AS t FROM documents)""",
     "human_size": f"""SELECT doc_id, n AS n_bytes, {human('n')} AS shown, {human('(n * n)')} AS shown_squared
         FROM (SELECT doc_id, strlen(text) AS n FROM documents)""",
     "nonempty_check": 'SELECT count(*) > 0 AS "exists", coalesce(max(strlen(text)) > 0, false) AS non_empty FROM documents',
-    "file_inventory": """SELECT coalesce('source=' || source, 'ALL') AS category,
+    "file_inventory": """SELECT coalesce('source=' || source, 'ALL') AS category, grouping(source) = 1 AS is_total,
         CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes, count(*) > 0 AS has_files FROM documents GROUP BY ROLLUP (source)""",
     "exclude_by_extension": r"""SELECT doc_id, path FROM (SELECT doc_id, source || '/doc_' || doc_id || '.' ||
           CASE lang WHEN 'en' THEN 'txt' WHEN 'de' THEN 'md' WHEN 'fr' THEN 'h5' ELSE 'bin' END AS path FROM documents)
@@ -232,6 +258,10 @@ SQL: dict[str, str] = {
               FROM cut LEFT JOIN small ON cut.doc_id = small.doc_id AND cut.fp = small.fp GROUP BY ALL)
         SELECT doc_id, variant, a.n AS base_blocks, b.n AS variant_blocks, s AS shared_blocks,
           round(CAST(s AS DOUBLE) / (a.n + b.n - s), 6) AS jaccard FROM a JOIN b USING (doc_id)""",
+    "block_overlap": overlaps(fixed_blocks(c.OVERLAP_BLOCK)),
+    "line_overlap": overlaps(
+        f"SELECT doc_id, nullif(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '') AS piece FROM ({_LINES})"
+    ),
     "append_logs": f"""SELECT log, 'log_' || log || '.txt' AS file, part, seq, md5(line) AS digest FROM (
         SELECT CAST(0 AS BIGINT) AS part, doc_id AS seq, text AS line FROM documents
         UNION ALL SELECT 1, j, 'LOG ENTRY ' || j FROM range(1, {replicate.LOG_LINES + 1}) t(j)),
@@ -247,7 +277,11 @@ SQL: dict[str, str] = {
     "planted_dedup_stats": fixed_stats(BLOCK_BYTES, replicate.COPIES + 1),
     "stats_json": fixed_stats(BLOCK_BYTES),
     "dedup_store_round_trip": "SELECT doc_id, strlen(text) AS n_bytes, md5(text) AS digest FROM documents",
-    "dedup_group_stores": f"SELECT grp, unique_blocks, stored_bytes FROM ({fixed_stats(c.SMALL_BLOCK)})",
+    "dedup_group_stores": f"SELECT grp, is_total, unique_blocks, stored_bytes FROM ({fixed_stats(c.SMALL_BLOCK)})",
+    # Text of some size gets smaller.
+    "compression_gain": f"""SELECT grp, is_total, files, raw_bytes, stored_bytes,
+        round(CAST(stored_bytes AS DOUBLE) / raw_bytes, 4) AS stored_share, raw_bytes > 1000 AS smaller, true AS packed
+        FROM ({fixed_stats(BLOCK_BYTES)})""",
     "frame_records": """WITH d AS (SELECT doc_id, text, printf('%016X', strlen(text)) AS n FROM documents)
         SELECT doc_id, substr(n, 15, 2) || substr(n, 13, 2) || substr(n, 11, 2) || substr(n, 9, 2) || substr(n, 7, 2)
           || substr(n, 5, 2) || substr(n, 3, 2) || substr(n, 1, 2) || hex(encode(text)) AS frame FROM d""",

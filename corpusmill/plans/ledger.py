@@ -1,8 +1,12 @@
-"""What has been done: an append-only table of stage events."""
+"""What has been done: an append-only table of stage events.
+
+Events are written to folders of their own, so stages that end at the same time do not meet in one commit.
+"""
 
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +24,14 @@ class Ledger:
         self.path = path
 
     def _append(self, stage: str, key: str, status: str) -> None:
-        event = self.spark.createDataFrame([(stage, key, status, time.time_ns() // 1000)], SCHEMA)
-        event.coalesce(1).write.mode("append").json(self.path)
+        event = self.spark.createDataFrame([(stage, key, status)], "stage STRING, key STRING, status STRING")
+        self.mark_all(event.coalesce(1))
+
+    def mark_all(self, events: DataFrame) -> None:
+        """Append events (stage, key, status) of one moment; Spark commits all of them or none."""
+        at = F.lit(time.time_ns() // 1000)
+        name = f"{self.path}/{uuid.uuid4().hex}"
+        events.select("stage", "key", "status", at.alias("at")).write.json(name)
 
     def mark(self, stage: str, key: str = "", status: str = DONE) -> None:
         self._append(stage, key, status)
@@ -32,7 +42,7 @@ class Ledger:
 
     def state(self) -> DataFrame:
         try:
-            events = self.spark.read.schema(SCHEMA).json(self.path)
+            events = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").json(self.path)
         except AnalysisException:
             events = self.spark.createDataFrame([], SCHEMA)
         latest = events.groupBy("stage", "key").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("at"))

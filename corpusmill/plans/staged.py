@@ -1,16 +1,23 @@
-"""The staged corpus build: each stage runs once, after the stages it needs, and can be restarted."""
+"""The staged corpus build: each stage runs once, after the stages it needs, and can be restarted.
+
+Stages that do not need each other run side by side. A stage without its input is not run, nor is one that needs it; a
+stage that fails keeps its dependants from running, while the others go on, and is raised at the end.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from graphlib import TopologicalSorter
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.operators import ordering, redundancy, replicate, sizes
 from corpusmill.plans import code, wiki
-from corpusmill.plans.ledger import FAILED, Ledger
+from corpusmill.plans.ledger import DONE, FAILED, Ledger
+from corpusmill.sinks import copies
 from corpusmill.sources import files, text
 from corpusmill.streaming import ingest
 
@@ -28,6 +35,8 @@ class Inputs:
     manifest: list[str] = field(default_factory=list)
     base_bytes: int = BASE_BYTES
     target_bytes: int | None = None  # all records
+    web_gate_gib: int = sizes.WEB_GATE_GIB  # web text and articles of at least so much are taken as they are
+    wiki_gate_gib: int = sizes.WIKI_GATE_GIB
     rows_per_chunk: int = ordering.ROWS_PER_CHUNK
 
 
@@ -52,18 +61,35 @@ class Build:
         self.ledger = Ledger(spark, f"{self.root}/_ledger")
 
     def run(self) -> list[str]:
-        """Run what is not done; returns the stages that ran."""
-        ran = []
-        for stage, needed in self.NEEDS.items():
-            if self.ledger.is_done(stage):
-                continue
-            if needed and not self.ledger.is_done(needed):
-                raise RuntimeError(f"stage {stage} needs {needed}")
-            step: Callable[[], bool] = getattr(self, f"_{stage}")
-            if step():
-                self.ledger.mark(stage)
-                ran.append(stage)
-        return ran
+        """Run what is not done and has its input; returns the stages that ran, in the order of ``NEEDS``."""
+        order = TopologicalSorter({stage: [needed] if needed else [] for stage, needed in self.NEEDS.items()})
+        order.prepare()
+        ran, failed, there = set(), {}, set()
+        running: dict[Future, str] = {}
+        with ThreadPoolExecutor(len(self.NEEDS)) as pool:
+            while order.is_active():
+                for stage in order.get_ready():
+                    if self.ledger.is_done(stage):
+                        there.add(stage)
+                        order.done(stage)
+                    elif (needed := self.NEEDS[stage]) and needed not in there:
+                        order.done(stage)
+                    else:
+                        running[pool.submit(getattr(self, f"_{stage}"))] = stage
+                if not running:
+                    continue
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    stage = running.pop(future)
+                    if future.exception() is not None:
+                        failed[stage] = future.exception()
+                    elif future.result():
+                        self.ledger.mark(stage)
+                        ran.add(stage)
+                        there.add(stage)
+                    order.done(stage)
+        if failed:
+            raise RuntimeError(f"failed: {', '.join(sorted(failed))}") from next(iter(failed.values()))
+        return [stage for stage in self.NEEDS if stage in ran]
 
     def restart(self, stage: str) -> None:
         self.ledger.reset(stage)
@@ -76,6 +102,8 @@ class Build:
         """New web files, once each, as lines that keep their file and place."""
         if self.inputs.web is None:
             return False
+        if self._large_enough("web", self.inputs.web_gate_gib):
+            return True
         ingest.collect_lines(
             ingest.new_lines(self.spark, self.inputs.web, full_path=True), self._combined, f"{self.root}/_checkpoints/web"
         )
@@ -83,6 +111,17 @@ class Build:
             raise RuntimeError("the web stage produced no text")
         return True
 
+    def _large_enough(self, category: str, gib: int) -> bool:
+        """Whether what lies in a category's folder already is enough to be taken as it is."""
+        return self._reports(category, gib).first()["reuse"]
+
+    def _reports(self, category: str, gib: int) -> DataFrame:
+        try:
+            found = files.inventory(self.spark, f"{self.root}/{category}")
+        except AnalysisException:  # there is no such folder yet
+            found = self.spark.createDataFrame([], "length BIGINT")
+        return sizes.at_least_gib(found, F.col("length"), gib)
+
     def _web_lines(self) -> DataFrame:
         """(file, block, seq, value) as ``sources.text`` orders streams; a file is read by one batch."""
         return self.spark.read.schema(ingest.COLLECTED_SCHEMA).parquet(self._combined)
@@ -90,7 +129,11 @@ class Build:
     def _wiki(self) -> bool:
         if self.inputs.dump is None:
             return False
-        wiki.build(self.spark, self.inputs.dump, f"{self.root}/wiki")
+        if self._large_enough("wiki", self.inputs.wiki_gate_gib):
+            return True
+        parted = wiki.build(self.spark, self.inputs.dump, f"{self.root}/wiki", rejected=f"{self.root}/_rejects/wiki")
+        if parted.n_rejected:
+            self.ledger.mark("rejected", "wiki", str(parted.n_rejected))
         if files.inventory(self.spark, f"{self.root}/wiki", "*.json").isEmpty():
             raise RuntimeError("the dump held no article")
         return True
@@ -134,22 +177,24 @@ class Build:
         return True
 
     def _models(self) -> bool:
-        """Register the listed models that are present; a missing one is recorded as failed, not done."""
+        """Place the files of the listed models that are present; a missing one is recorded as failed, not done."""
         if not self.inputs.manifest:
             return False
         entries = self.spark.createDataFrame([(e,) for e in self.inputs.manifest], "entry string")
         identifier, description, folder = files.parse_manifest(F.col("entry"))
         wanted = entries.select(identifier.alias("id"), description.alias("description"), folder.alias("folder"))
-        found = self.spark.createDataFrame([], "folder STRING, files BIGINT, bytes BIGINT")
+        held = self.spark.createDataFrame([], "target STRING, copied BIGINT")
         if self.inputs.models:
-            kept = files.inventory(self.spark, self.inputs.models).where(files.without_extensions(F.col("path")))
-            found = kept.groupBy(F.col("category").alias("folder")).agg(
-                F.count("*").alias("files"), F.sum("length").alias("bytes")
-            )
-        listed = wanted.join(found, "folder", "left").na.fill(0, ["files", "bytes"])
-        listed.write.mode("overwrite").json(f"{self.root}/models")
-        for row in listed.where("files = 0").select("folder").toLocalIterator():
-            self.ledger.mark("model", row["folder"], FAILED)
+            present = files.inventory(self.spark, self.inputs.models).where(files.without_extensions(F.col("path")))
+            chosen = present.join(wanted.select(F.col("folder").alias("category")).distinct(), "category", "left_semi")
+            held = copies.copy_files(chosen.withColumn("target", F.col("inside")), f"{self.root}/models")
+        placed = held.groupBy(F.substring_index("target", "/", 1).alias("folder")).agg(
+            F.count("*").alias("files"), F.sum("copied").alias("bytes")
+        )
+        listed = wanted.join(placed, "folder", "left").na.fill(0, ["files", "bytes"])
+        listed.write.mode("overwrite").json(f"{self.root}/_models")
+        status = F.when(F.col("files") > 0, DONE).otherwise(FAILED)
+        self.ledger.mark_all(listed.select(F.lit("model").alias("stage"), F.col("folder").alias("key"), status.alias("status")))
         return True
 
     def report(self) -> DataFrame:

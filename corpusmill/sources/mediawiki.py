@@ -24,7 +24,7 @@ ARTICLE_NAMESPACE = "0"
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page: id, title, ns, redirect, text, and the raw record if it is malformed.
+    """One row per page: id, title, ns, redirect, text, its file, and the raw record if it is malformed.
 
     The closing tag is the record separator, so plain and bz2 files split at any byte. ``explode`` of
     the one parsed value keeps later filters from being evaluated on a second parse.
@@ -34,9 +34,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
         F.expr(f"substring(value, locate('{PAGE_OPEN}', value))"), F.lit(PAGE_CLOSE)
     )
     parsed = records.select(
-        F.explode(F.array(F.from_xml(page, PAGE_SCHEMA, PAGE_OPTIONS))).alias("page")
-    ).select("page.*")
-    return parsed.select("id", "title", "ns", "redirect", last_text(F.col("revision")).alias("text"), "_corrupt_record")
+        F.col("_metadata.file_path").alias("file"),
+        F.explode(F.array(F.from_xml(page, PAGE_SCHEMA, PAGE_OPTIONS))).alias("page"),
+    ).select("file", "page.*")
+    return parsed.select(
+        "id", "title", "ns", "redirect", last_text(F.col("revision")).alias("text"), "file", "_corrupt_record"
+    )
 
 
 def last_text(revisions: Column) -> Column:
@@ -59,6 +62,20 @@ def malformed(pages: DataFrame) -> DataFrame:
     return pages.where("_corrupt_record IS NOT NULL").select("_corrupt_record")
 
 
+def clean_or_reject(pages: DataFrame, minimum: int = MIN_ARTICLE_BYTES, limit: int = MAX_ARTICLE_BYTES) -> DataFrame:
+    """(id, title, text, file, raw, cause): cleaned articles as in ``clean_articles``, and malformed pages with their cause."""
+    malformed_page = F.col("_corrupt_record").isNotNull()
+    wanted = pages.where(malformed_page | is_article(F.col("redirect"), F.col("ns"), F.col("text")))
+    cleaned = F.when(~malformed_page, strip_markup(F.col("text")))
+    rows = wanted.select(
+        F.when(~malformed_page, F.col("id")).alias("id"), F.when(~malformed_page, F.col("title")).alias("title"),
+        "file", F.col("_corrupt_record").alias("raw"), F.explode(F.array(cleaned)).alias("text"),
+    )
+    kept = rows.where(F.col("raw").isNotNull() | long_enough(F.col("text"), minimum))
+    cause = F.when(F.col("raw").isNotNull(), "malformed page")
+    return kept.select("id", "title", truncate_bytes(F.col("text"), limit).alias("text"), "file", "raw", cause.alias("cause"))
+
+
 def clean_articles(
     df: DataFrame,
     markup: str,

@@ -1,10 +1,12 @@
 import bz2
 import gzip
+import hashlib
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.plans import staged
+from corpusmill.plans import staged, wiki
 from corpusmill.plans.ledger import Ledger
 from corpusmill.session import work_folder
 from corpusmill.sinks import chunks
@@ -32,32 +34,55 @@ def test_each_file_is_taken_in_once(spark, tmp_path):
     assert run() == [("a.gz", "1"), ("a.gz", "2"), ("b.gz", "3")]
 
 
-def test_progress_is_observed(spark, tmp_path):
-    put(tmp_path / "in", "a.gz", ["é", "bcd"])
-    lines = ingest.with_progress(ingest.new_lines(spark, str(tmp_path / "in")))
-    query = ingest.append_new(lines, str(tmp_path / "out"), str(tmp_path / "state"))
-    assert [r[1:] for r in ingest.progress_rows(query) if r[1]] == [(2, 5)]
-
-
 def documents(spark, rows):
     return spark.createDataFrame(rows, "id BIGINT, text STRING")
 
 
-def test_block_store_keeps_only_unseen_blocks_and_survives_replay(spark):
-    folder = work_folder(spark, "grown")
-    batches = [documents(spark, [(1, "a\nb\n"), (2, "a\n")]), documents(spark, [(3, "b\nc\n"), (4, "")])]
-
-    def add(number):
-        blockstore.add_batch(batches[number], number, "id", "text", folder, None)
-
-    def state():
-        stored = sorted(bytes(r.block) for r in blockstore.read_blocks(spark, folder).collect())
-        return stored, blockstore.read_recipe(spark, folder).count()
-
-    add(0), add(1)
-    assert state() == ([b"a\n", b"b\n", b"c\n"], 5)
-    add(1)
-    assert state() == ([b"a\n", b"b\n", b"c\n"], 5)
+def stored(spark, folder):
+    blocks = sorted((bytes(r.block), bytes(r.fp) == hashlib.sha256(bytes(r.block)).digest()) for r in blockstore.read_blocks(spark, folder).collect())
+    return blocks, blockstore.read_recipe(spark, folder).count()
+
+
+def test_block_store_keeps_only_unseen_blocks(spark, tmp_path):
+    source, folder, state = str(tmp_path / "in"), work_folder(spark, "grown"), str(tmp_path / "state")
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("id BIGINT, text STRING").option("maxFilesPerTrigger", 1).parquet(source)
+    for rows, blocks, used in (
+        ([(1, "a\nb\n"), (2, "a\n")], [b"a\n", b"b\n"], 3),
+        ([(3, "b\nc\n"), (4, ""), (5, None)], [b"a\n", b"b\n", b"c\n"], 5),
+        ([(6, "hot\n" * 9000)], [b"a\n", b"b\n", b"c\n", b"hot\n"], 9005),
+    ):
+        documents(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        for _ in range(2):  # the second run finds nothing new
+            blockstore.grow_store(stream, "id", "text", folder, state, None)
+            assert stored(spark, folder) == ([(b, True) for b in blocks], used)
+
+
+def test_block_store_survives_the_replay_of_a_batch(spark, tmp_path):
+    """A batch whose commit was lost runs again: its blocks are neither lost nor stored twice."""
+    source, folder, state = str(tmp_path / "in"), work_folder(spark, "replayed"), tmp_path / "state"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("id BIGINT, text STRING").option("maxFilesPerTrigger", 1).parquet(source)
+    for rows in ([(1, "a\nb\n")], [(2, "b\nc\n")]):
+        documents(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        blockstore.grow_store(stream, "id", "text", folder, str(state), None)
+    for query in ("blocks", "recipe"):
+        commits = state / query / "commits"
+        last = max((int(p.name) for p in commits.iterdir() if p.name.isdigit()))
+        for name in (str(last), f".{last}.crc"):
+            (commits / name).rename(tmp_path / f"{query}-{name}")
+    documents(spark, [(3, "c\nd\n")]).coalesce(1).write.mode("append").parquet(source)
+    blockstore.grow_store(stream, "id", "text", folder, str(state), None)
+    assert stored(spark, folder) == ([(b, True) for b in (b"a\n", b"b\n", b"c\n", b"d\n")], 6)
+
+
+def test_no_batch_reads_the_stored_blocks(spark, tmp_path):
+    """The only files in the plan are the stream's."""
+    source = str(tmp_path / "in")
+    documents(spark, [(1, "a\n")]).write.parquet(source)
+    stream = spark.readStream.schema("id BIGINT, text STRING").parquet(source)
+    plan = blockstore.unseen_blocks(stream, "text", None)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("StreamingRelation") == 1 and "Join" not in plan and "Deduplicate" in plan
 
 
 def test_chunk_stream_replay_changes_nothing(spark):
@@ -138,10 +163,64 @@ def test_stages_run_once_restart_alone_and_report(spark, inputs):
     assert report["ALL"][0] == sum(v[0] for c, v in report.items() if c != "ALL")
 
 
-def test_a_stage_needs_its_input(spark, inputs):
+def test_partial_builds_run_what_has_its_input(spark, inputs):
+    web, inputs.web = inputs.web, None
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    assert build.run() == ["wiki", "code", "models"]
+    assert build.run() == []
+    inputs.web = web
+    assert build.run() == ["web", "hot_duplicates", "near_duplicates", "append_logs"]
+
+
+def test_a_failed_stage_keeps_only_its_dependants_back(spark, inputs, tmp_path):
+    put(tmp_path / "empty", "a.gz", [])
+    inputs.web = str(tmp_path / "empty")
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    with pytest.raises(RuntimeError, match="failed: web") as raised:
+        build.run()
+    assert "no text" in str(raised.value.__cause__)
+    done = {r.stage for r in build.ledger.state().where("status = 'done' AND key = ''").collect()}
+    assert done == {"wiki", "code", "models"}
+    put(tmp_path / "empty", "b.gz", ["some", "text"])
+    assert build.run() == ["web", "hot_duplicates", "near_duplicates", "append_logs"]
+
+
+def test_model_files_are_placed_whole(spark, inputs, tmp_path):
+    inputs.web = inputs.dump = inputs.records = None
+    (tmp_path / "models" / "owner_model" / "deep").mkdir()
+    (tmp_path / "models" / "owner_model" / "deep" / "v.bin").write_bytes(bytes(range(256)) * 1000)
+    (tmp_path / "models" / "owner_model" / "z.gz").write_bytes(gzip.compress(b"kept as it is"))
+    (tmp_path / "models" / "unlisted").mkdir()
+    (tmp_path / "models" / "unlisted" / "w.bin").write_bytes(b"y")
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    assert build.run() == ["models"]
+    root = pathlib.Path(build.root.removeprefix("file://")) / "models"
+    placed = {str(p.relative_to(root)): p.read_bytes() for p in root.rglob("*") if p.is_file() and p.suffix != ".crc"}
+    zipped = placed.pop("owner_model/z.gz")
+    assert gzip.decompress(zipped) == b"kept as it is"
+    assert placed == {"owner_model/w.bin": b"x" * 9, "owner_model/deep/v.bin": bytes(range(256)) * 1000}
+    report = {r.category: (r.total_bytes, r.files) for r in build.report().collect()}
+    assert report["models"] == report["ALL"] == (256_009 + len(zipped), 3)
+
+
+def test_a_category_that_is_large_enough_is_taken_as_it_is(spark, inputs):
+    inputs.web_gate_gib = inputs.wiki_gate_gib = 0  # whatever is there will do
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
     inputs.web = None
-    with pytest.raises(RuntimeError, match="needs web"):
-        staged.Build(spark, work_folder(spark, "build"), inputs).run()
+    documents(spark, [(1, "kept")]).write.json(f"{build.root}/wiki")
+    assert "wiki" in build.run()
+    assert [r.text for r in spark.read.json(f"{build.root}/wiki").collect()] == ["kept"]
+
+
+def test_malformed_pages_are_counted_and_reported(spark, inputs, tmp_path):
+    good = f"<page><title>T</title><ns>0</ns><id>1</id><revision><text>{'word ' * 30}</text></revision></page>"
+    (tmp_path / "bad.xml").write_text(f"<m>{good}<page><id>2</title></page>{good.replace('>1<', '>3<')}<page><title>T</m></page>")
+    parted = wiki.build(spark, str(tmp_path / "bad.xml"), str(tmp_path / "out"), rejected=str(tmp_path / "rejects"))
+    assert (parted.n_kept, parted.n_rejected) == (2, 2)
+    assert sorted(r.id for r in spark.read.json(str(tmp_path / "out")).collect()) == ["1", "3"]
+    found = spark.read.json(str(tmp_path / "rejects")).collect()
+    assert len(found) == 2 and all(r.file.endswith("bad.xml") and r.cause == "malformed page" for r in found)
+    assert any("<id>2</title>" in r.raw for r in found)
 
 
 def test_counted_batches_keep_every_batch(spark, tmp_path):
