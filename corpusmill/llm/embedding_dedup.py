@@ -1,15 +1,22 @@
 """Near-duplicate vectors by NN-descent.
 
 1. Equal vectors of a label form one class; only classes are compared, and a class's size counts for its links.
-2. First neighbour lists: ``TABLES`` sign codes of random planes put the vectors of a label in orders in which similar
-   ones are close; blocks of ``BLOCK`` consecutive vectors, half overlapping, are compared.
+2. First neighbour lists: tables of sign codes of random planes put the vectors of a label in orders in which similar
+   ones are close; blocks of ``BLOCK`` consecutive vectors, half overlapping, are compared. There are as many tables as
+   a pair at the threshold needs to meet in one with probability 1 - ``MISSED``, by the size of the largest label.
 3. NN-descent: the vectors in a node's list and those that have it in theirs meet at the node and are compared;
    every vector keeps the ``NEIGHBOURS`` best. A node that very many lists name meets them in groups of ``GROUP``.
-   Rounds go on until fewer than ``STOP_SHARE`` of the list entries change, ``ROUNDS`` at most.
-4. Pairs at or above the threshold are links; their components are found. A list all of whose entries are links is
-   saturated: it may be too short. Such lists are enlarged to the whole component: its members are compared in
-   blocks of ``BLOCK``, and every member counts its links, so no pair is written and no task holds a component.
-5. ``audit`` compares a stated set of queries with all vectors and reports the recall of the links.
+   A round ends with the components of the pairs at or above the threshold, its links.
+4. Each round is audited: a bounded sample of ``AUDITED`` vectors is compared with all others of their label, and the
+   share of the links found there whose ends are in one component is the recall. Rounds go on until it reaches
+   ``RECALL``. One that changes less than ``STOP_SHARE`` of the list entries without reaching it is followed by further
+   tables, as many as there have been. They bring pairs together that no neighbour has in common, and where lists are
+   full of closer neighbours, each vector's best link to another component is kept beside them.
+5. A list all of whose entries are links is saturated: it may be too short. Such lists are enlarged to the whole
+   component: its members are compared in blocks of ``BLOCK``, and every member counts its links, so no pair is
+   written and no task holds a component.
+
+Vectors are scaled by their largest component before their length is taken, so that neither overflows nor vanishes.
 
 Cosines are in double precision. Vectors that are null, zero, hold null or non-finite components, or whose label is
 null link with nothing, nor do vectors of different lengths. Repeated ids give a row each. An empty table gives an
@@ -18,6 +25,7 @@ empty result. Only the named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,15 +37,22 @@ from corpusmill.llm.components import components
 from corpusmill.session import materialized, ship_package
 
 THRESHOLD = 0.93
-NEIGHBOURS, TABLES, CODE_BITS, BLOCK, GROUP = 8, 6, 24, 256, 32
-ROUNDS, STOP_SHARE, EMIT, SEED = 4, 0.002, 3, 11
+NEIGHBOURS, CODE_BITS, BLOCK, GROUP = 8, 24, 256, 32
+STOP_SHARE, EMIT, SEED = 0.002, 3, 11
+AUDITED, RECALL, MISSED = 4096, 0.999, 0.05
+# Cosines this close to the threshold may come out on either side of it, by the order of additions.
+ROUNDING = 1e-9
 LIST_SCHEMA = "src bigint, dst bigint, sim double"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """A list column whose lists are equally long as rows of unit vectors."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    x = values.reshape(len(column), -1)
+    return _units(values.reshape(len(column), -1))
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -70,14 +85,19 @@ def _usable(vec: str, label: str) -> F.Column:
     return F.col(label).isNotNull() & F.col(vec).isNotNull() & finite & F.exists(vec, lambda x: x != 0)
 
 
-def _first_lists(nodes: DataFrame) -> DataFrame:
+def _first_lists(nodes: DataFrame, tables: range, threshold: float) -> DataFrame:
+    """(src, dst, sim): neighbours of ``nodes`` (cid, label, vec, component) in the orders of these tables.
+
+    A vector's best link to another component comes beside its best neighbours.
+    """
+
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = np.diff(batch.column(2).offsets.to_numpy())
             for size in np.unique(lengths):
                 part = batch.filter(pa.array(lengths == size))
                 x = _matrix(part.column(2))
-                for t in range(TABLES):
+                for t in tables:
                     planes = np.random.default_rng([SEED, t]).normal(size=(int(size), CODE_BITS))
                     code = ((x @ planes > 0) @ (1 << np.arange(CODE_BITS)[::-1])).astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
@@ -87,45 +107,61 @@ def _first_lists(nodes: DataFrame) -> DataFrame:
                             part.column(1),
                             pa.array(code, pa.int64()),
                             part.column(2),
+                            part.column(3),
                         ],
-                        names=["cid", "part", "label", "code", "vec"],
+                        names=["cid", "part", "label", "code", "vec", "component"],
                     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         last = None
 
-        def block() -> list[np.ndarray]:
-            x = np.stack([v for _, v in held])
-            return _top(np.array([c for c, _ in held]), x @ x.T, NEIGHBOURS)
+        def block() -> list[list[np.ndarray]]:
+            ids, component, x = (np.array([h[k] for h in held]) for k in range(3))
+            sims = x @ x.T
+            apart = np.where(component[:, None] == component[None], -2.0, sims)
+            other = apart.argmax(axis=1)
+            best = apart[np.arange(len(ids)), other]
+            far = best >= threshold
+            return [_top(ids, sims, NEIGHBOURS), [ids[far], ids[other[far]], best[far]]]
 
         for batch in batches:
             found = []
-            for cid, part, vec in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True
+            for cid, part, vec, component in zip(
+                *(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), batch.column(3).to_pylist(), strict=True
             ):
                 if part != last or len(held) == BLOCK:
                     if len(held) > 1:
-                        found.append(block())
+                        found += block()
                     held = held[BLOCK // 2 :] if part == last else []
                     last = part
                 x = vec.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                held.append((cid, x / np.linalg.norm(x)))
+                held.append((cid, component, _units(x[None])[0]))
             yield _rows(found)
         if len(held) > 1:
-            yield _rows([block()])
+            yield _rows(block())
 
-    coded = nodes.select("cid", F.col("label").cast("string"), "vec").mapInArrow(
-        codes, f"cid bigint, part string, label string, code bigint, vec {nodes.schema['vec'].dataType.simpleString()}"
+    kind = nodes.schema["vec"].dataType.simpleString()
+    coded = nodes.select("cid", F.col("label").cast("string"), "vec", "component").mapInArrow(
+        codes, f"cid bigint, part string, label string, code bigint, vec {kind}, component bigint"
     )
-    ordered = coded.select("cid", F.concat("part", "label").alias("part"), "code", "vec").repartitionByRange(
+    ordered = coded.select("cid", F.concat("part", "label").alias("part"), "code", "vec", "component").repartitionByRange(
         "part", "code", "cid"
     )
-    return ordered.sortWithinPartitions("part", "code", "cid").select("cid", "part", "vec").mapInArrow(
+    return ordered.sortWithinPartitions("part", "code", "cid").select("cid", "part", "vec", "component").mapInArrow(
         compare, LIST_SCHEMA
     )
 
 
+def _tables(nodes: DataFrame, threshold: float) -> int:
+    """How many tables a pair at the threshold needs to share a block, 1 - ``MISSED`` of the time, in the largest label."""
+    largest = nodes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    # Of the bits that tell a block apart each agrees with this probability.
+    agrees = 1 - math.acos(min(threshold, 1.0)) / math.pi
+    together = min(agrees ** max(math.log2(max(largest, 1) / BLOCK), 0.0), 0.95)
+    return math.ceil(math.log(MISSED) / math.log(1 - together))
+
+
 def _best(lists: DataFrame) -> DataFrame:
     lists = lists.groupBy("src", "dst").agg(F.max("sim").alias("sim"))
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst"))
@@ -168,16 +204,63 @@ def _round(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     return met.mapInArrow(compare, LIST_SCHEMA)
 
 
-def neighbour_lists(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(src, dst, sim): the best neighbours found for each of ``nodes`` (cid, label, vec)."""
-    lists = materialized(_best(_first_lists(nodes)), "lists")
-    for _ in range(rounds):
-        new = materialized(_best(lists.unionByName(_round(lists, nodes))), "lists")
+def _recall(nodes: DataFrame, found: DataFrame, threshold: float) -> float:
+    """The share of the sample's links whose ends are in one component; 1 if there are none."""
+    placed = nodes.join(found, nodes["cid"] == found["node"], "left").select(
+        "cid", F.col("label").cast("string").alias("label"), "vec", F.coalesce("component", "cid").alias("component")
+    )
+    # A bounded sample, the same in each round.
+    sample = placed.orderBy(F.xxhash64("cid"), "cid").limit(AUDITED).collect()
+    groups: dict[tuple, list] = {}
+    for r in sample:
+        groups.setdefault((r["label"], len(r["vec"])), []).append(r)
+    queries = {
+        key: (np.array([r["cid"] for r in rows]), np.array([r["component"] for r in rows]),
+              _units(np.array([r["vec"] for r in rows], np.float64)))
+        for key, rows in groups.items()
+    }
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = joined = 0
+        for batch in batches:
+            labels = np.array(batch.column(1).to_pylist(), object)
+            lengths = np.diff(batch.column(2).offsets.to_numpy())
+            cid, component = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 3))
+            for (label, length), (ids, components_, x) in queries.items():
+                own = np.flatnonzero((labels == label) & (lengths == length))
+                if len(own):
+                    close = x @ _matrix(batch.column(2).take(pa.array(own))).T >= threshold + ROUNDING
+                    close &= ids[:, None] != cid[own][None]
+                    there += int(close.sum())
+                    joined += int((close & (components_[:, None] == component[own][None])).sum())
+        yield pa.RecordBatch.from_pydict({"there": [there], "joined": [joined]})
+
+    total = placed.mapInArrow(compare, "there bigint, joined bigint").agg(F.sum("there"), F.sum("joined")).first()
+    return 1.0 if not total[0] else total[1] / total[0]
+
+
+def linked(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, float]:
+    """The components (node, component) of the links among ``nodes`` (cid, label, vec), and their recall."""
+    ends = lambda rows: rows.where(F.col("sim") >= threshold).select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    tables = _tables(nodes, threshold)
+    met = materialized(_first_lists(nodes.withColumn("component", F.col("cid")), range(tables), threshold), "met")
+    lists, links = materialized(_best(met), "lists"), ends(met)
+    while True:
+        met = materialized(_round(lists, nodes), "met")
+        new = materialized(_best(lists.unionByName(met)), "lists")
         changed, size = new.join(lists, ["src", "dst"], "left_anti").count(), new.count()
-        lists = new
+        lists, links = new, links.unionByName(ends(met))
+        found = materialized(components(links), "components")
+        reached = _recall(nodes, found, threshold)
+        if reached >= recall:
+            return found, reached
         if changed <= STOP_SHARE * size:
-            break
-    return lists
+            placed = nodes.join(found, nodes["cid"] == found["node"], "left").select(
+                "cid", "label", "vec", F.coalesce("component", "cid").alias("component")
+            )
+            met = materialized(_first_lists(placed, range(tables, 2 * tables), threshold), "met")
+            lists, links = materialized(_best(lists.unionByName(met)), "lists"), links.unionByName(ends(met))
+            tables *= 2
 
 
 def _counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -218,17 +301,25 @@ def dedup(
     vec_col: str = "embedding",
     label_col: str = "label",
     threshold: float = THRESHOLD,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """Per row its id, ``n_links``, ``component_id`` and ``kept``."""
+    return audited_dedup(vectors, id_col, vec_col, label_col, threshold)[0]
+
+
+def audited_dedup(
+    vectors: DataFrame,
+    id_col: str = "vec_id",
+    vec_col: str = "embedding",
+    label_col: str = "label",
+    threshold: float = THRESHOLD,
+) -> tuple[DataFrame, float]:
+    """The result of :func:`dedup` and the recall that the search reached on its sample."""
     ship_package()
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.col(label_col).alias("label"))
     rows = rows.withColumn("usable", F.coalesce(_usable("vec", "label") & F.col("id").isNotNull(), F.lit(False)))
-    classes = rows.where("usable").groupBy("label", "vec").agg(F.min("id").alias("cid"), F.count("*").alias("size"))
+    classes = rows.where("usable").groupBy("label", "vec").agg(F.min("id").cast("bigint").alias("cid"), F.count("*").alias("size"))
     nodes = materialized(classes, "vectors")
-    lists = neighbour_lists(nodes.select("cid", "label", "vec"), rounds)
-    links = lists.where(F.col("sim") >= threshold).select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    found = materialized(components(links), "components")
+    found, reached = linked(nodes.select("cid", "label", "vec"), threshold)
     members = nodes.join(found, nodes["cid"] == found["node"]).select("cid", "size", "component", "vec")
     counts = materialized(_counts(members, threshold), "counts")
     per_class = (
@@ -242,17 +333,16 @@ def dedup(
         )
     )
     # Only rows in a link need their class again; the join keeps the rest.
-    linked = per_class.where("links > 0")
-    out = rows.join(
-        linked, (F.col("usable")) & (rows["label"] == linked["label"]) & (rows["vec"] == linked["vec"]), "left"
-    )
+    alike = per_class.where("links > 0")
+    out = rows.join(alike, (F.col("usable")) & (rows["label"] == alike["label"]) & (rows["vec"] == alike["vec"]), "left")
     component = F.coalesce("component_id", "id")
-    return out.select(
+    result = out.select(
         F.col("id").alias(id_col),
         F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
         (component == F.col("id")).alias("kept"),
     )
+    return result, reached
 
 
 def audit(

@@ -121,6 +121,51 @@ def test_vectors_equal_brute_force(spark):
     assert embedding_dedup.dedup(table.limit(0)).count() == 0
 
 
+def test_tiny_and_huge_vectors(spark):
+    """Neither a length that vanishes nor one that overflows changes a cosine."""
+    rows = [(1, [1e-200, 0.0]), (2, [0.0, 1e-200]), (3, [1.0, 0.0]), (4, [1e200, 0.0]), (5, [2.0, 0.0]), (6, [5e-324, 0.0]),
+            (7, [1.7e308, 1.7e308]), (8, [1.0, 1.0])]
+    table = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.dedup(table).collect()}
+    assert got == {1: (4, 1), 2: (0, 2), 3: (4, 1), 4: (4, 1), 5: (4, 1), 6: (4, 1), 7: (1, 7), 8: (1, 7)}
+
+
+def _isolated_pairs(n, dims, seed):
+    """Pairs just above the threshold without any other neighbour, the hard case of a neighbour search."""
+    rng = np.random.default_rng(seed)
+    a = rng.normal(size=(n // 2, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.normal(size=a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    cos = rng.uniform(0.931, 0.945, (n // 2, 1))
+    return np.concatenate([a, cos * a + np.sqrt(1 - cos**2) * b])
+
+
+def test_recall_does_not_fall_with_size(spark):
+    for n in (3_000, 24_000):
+        x = _isolated_pairs(n, 48, n)
+        table = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.tolist())], "vec_id int, embedding array<double>, label int")
+        result, reached = embedding_dedup.audited_dedup(table.repartition(8))
+        alone = result.where("n_links = 0").count()
+        assert reached >= 0.999 and alone <= 0.004 * n
+        assert result.where("n_links > 1").count() == 0
+
+
+def test_full_lists_do_not_hide_links_between_groups(spark):
+    """Two dense groups whose members all have closer neighbours in their own group than the links that join them."""
+    rng = np.random.default_rng(3)
+    centre = np.zeros((2, 32))
+    centre[0, 0], centre[1, 0], centre[1, 1] = 1, math.cos(0.36), math.sin(0.36)
+    x = np.concatenate([c + rng.normal(0, 0.003, (400, 32)) for c in centre])
+    table = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.dedup(table).collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = u @ u.T >= 0.93
+    assert close[:400, 400:].any() and {r.component_id for r in got} == {0}
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate((close.sum(axis=1) - 1).tolist()))
+
+
 def test_url_list_as_of_the_fetch(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
     entries = [
@@ -148,6 +193,56 @@ def test_url_list_as_of_the_fetch(spark):
     assert all(got[k] == (0, "", False) for k in (9, 10, 11, 12))
 
 
+def test_url_patterns_and_case(spark):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    long = "p" + "/p" * 60
+    entries = [
+        ("a", "prefix", "X.com/Path", day(0), "add"), ("a", "host", "Y.com", day(0), "add"), ("a", "host", "y.com", day(10), "remove"),
+        ("b", "domain", "Z.com", day(0), "add"), ("b", "domain", "z.com", day(0), "add"), ("c", "prefix", f"l.com/{long}", day(0), "add"),
+        ("d", "domain", "m.com", day(5), "add"), ("d", "domain", "M.COM", day(5), "remove"),
+    ]
+    listed = url_filter.intervals(
+        spark.createDataFrame(entries, "list_name string, kind string, pattern string, listed_at date, action string")
+    )
+    urls = [
+        ("http://x.com/Path/q", day(1)), ("http://x.com/path/q", day(1)), ("http://Y.com", day(9)), ("http://y.COM/", day(10)),
+        ("https://sub.z.com/", day(1)), (f"http://l.com/{long}/q?x", day(1)), ("http://m.com", day(6)),
+        ("http://" + "s." * 50 + "z.com", day(1)),
+    ]
+    rows = spark.createDataFrame([(k, *u) for k, u in enumerate(urls)], "id long, url string, at date").selectExpr("*", "'k' as kind", "1 as pattern", "2 as valid_to")
+    got = {r.id: (r.n_matches, r.lists) for r in url_filter.evaluate(rows, listed, "id", "url", "at").collect()}
+    assert got == {0: (1, "a"), 1: (0, ""), 2: (1, "a"), 3: (0, ""), 4: (1, "b"), 5: (1, "c"), 6: (0, ""), 7: (1, "b")}
+    assert url_filter.evaluate(rows.limit(0), listed, "id", "url", "at").count() == 0
+    assert {r.blocked for r in url_filter.evaluate(rows, listed.limit(0), "id", "url", "at").collect()} == {False}
+
+
+def test_blocks_join_what_a_bucket_holds(spark):
+    """A spanning forest of exact links from many variants of one text, no more rows than members."""
+    rng = np.random.default_rng(8)
+    sets = {}
+    for n in (500, 1000):
+        base = rng.integers(0, 1 << 40, 200)
+        rows = []
+        for k in range(n):
+            own = base.copy()
+            own[rng.choice(200, 16, replace=False)] = rng.integers(0, 1 << 40, 16)
+            rows.append((k, sorted(set(own.tolist()))))
+        sets = {k: set(v) for k, v in rows}
+        make = minhash_dedup.Sketcher()
+        sketches = make.odd_sketch(np.stack([make.samples(np.array(v)) for _, v in rows])).tolist()
+        members = spark.createDataFrame([(7, k, 0, n - 1, n) for k in range(n)], "bucket long, cid long, lo long, hi long, n long")
+        frame = spark.createDataFrame(rows, "cid long, shingles array<long>")
+        sketch = spark.createDataFrame([(k, s) for k, s in enumerate(sketches)], "cid long, sketch array<long>")
+        joined = spark.createDataFrame([(0, 0), (1, 0), (2, 0)], "node long, component long")
+        links = minhash_dedup._block_links(members, joined, sketch, frame, 80).collect()
+        assert len(links) < 2 * n
+        near = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])  # noqa: B023, E731
+        assert all(near(r.a, r.b) for r in links)
+        every = [(a, b) for a in sets for b in sets if a < b and near(a, b)]
+        start = [(0, 1), (1, 2)]
+        assert _components(sets, start + [(r.a, r.b) for r in links]) == _components(sets, start + every)
+
+
 def test_segmentations(spark):
     model = piece_sampling.public_pieces()
     sampler = piece_sampling.Sampler(model)
