@@ -51,10 +51,11 @@ def fingerprint(data: Column) -> Column:
 
 
 def exact_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Groups of byte-identical records with their copies, first key, bytes and surplus bytes."""
+    """Groups of byte-identical records with their copies, first key, bytes and surplus bytes; null is no record."""
     size = F.octet_length(text).cast("bigint")
     return (
-        df.select(key, fingerprint(F.col(text)).alias("digest"), size.alias("_size"))
+        df.where(F.col(text).isNotNull())
+        .select(key, fingerprint(F.col(text)).alias("digest"), size.alias("_size"))
         .groupBy("digest")
         .agg(
             F.count("*").alias("copies"),

@@ -31,7 +31,9 @@ ROWS_PER_CHUNK = 100
 SHARD_LAYOUT = {"rows_per_file": 20, "files_per_folder": 5, "folders": 3}
 MILESTONE_TARGET = 10 * 1024**2
 SMALL_BLOCK = 256
-OVERLAP_BLOCK = 64
+SPARSE_LENGTH = 4  # start mark, two words, end mark
+PLANTED_COPIES = 1_000_000
+OVERLAP_BLOCK, OVERLAP_SIMILARITY = 64, 20
 PATH_PREFIX = "https://mirror.example.org/"
 TALK_SOURCE, REDIRECT_SOURCE, BLANKED_LANG, BROKEN_LANG = "src3", "src7", "de", "fr"
 
@@ -259,6 +261,12 @@ def size_gate(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.at_least_gib(documents(spark, sf, "text"), size_of("text"), sizes.WEB_GATE_GIB)
 
 
+@query
+def size_gate_open(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate over as many copies of the texts as it takes to pass it."""
+    return sizes.at_least_gib(documents(spark, sf, "text"), size_of("text") * PLANTED_COPIES, sizes.WIKI_GATE_GIB)
+
+
 @query
 def human_size(spark: SparkSession, sf: str) -> DataFrame:
     sized = documents(spark, sf, "doc_id", "text").select("doc_id", size_of("text").alias("n_bytes"))
@@ -321,7 +329,7 @@ def rejects_report(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "rejects")
     table = documents(spark, sf, "source", "lang", "text")
     table.select("source", "text").write.partitionBy("source").text(folder)
-    found = files.inventory(spark, folder, "*.txt").select(F.substring_index("category", "=", -1).alias("name"))
+    found = files.inventory(spark, folder, "*.txt").select(F.url_decode(F.replace(F.substring_index("category", "=", -1), F.lit("+"), F.lit("%2B"))).alias("name"))
     requested = table.select(F.col("source").alias("name")).unionByName(table.select(F.col("lang").alias("name")))
     return text_source.rejects(requested.distinct(), found)
 
@@ -388,13 +396,16 @@ def near_duplicate_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def block_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """Each document's links to any others that share half of their byte blocks."""
-    return overlap.block_overlap(spread(documents(spark, sf, "doc_id", "text")), "doc_id", "text", OVERLAP_BLOCK)
+    """Each document's links to any others that share a fifth of their byte blocks."""
+    table = spread(documents(spark, sf, "doc_id", "text"))
+    return overlap.block_overlap(table, "doc_id", "text", OVERLAP_BLOCK, OVERLAP_SIMILARITY)
 
 
 @query
 def line_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    return overlap.block_overlap(spread(documents(spark, sf, "doc_id", "text")), "doc_id", "text", None)
+    """The same over lines."""
+    table = spread(documents(spark, sf, "doc_id", "text"))
+    return overlap.block_overlap(table, "doc_id", "text", None, OVERLAP_SIMILARITY)
 
 
 @query
@@ -549,8 +560,8 @@ def _line_counts(lines: DataFrame, column: str) -> DataFrame:
 # ---- language-model batches -------------------------------------------------------------------------
 
 
-def _tokenized(spark: SparkSession, sf: str) -> DataFrame:
-    return batches.tokenize(spread(documents(spark, sf, "doc_id", "text")), "text")
+def _tokenized(spark: SparkSession, sf: str, max_length: int = tokens.MAX_LENGTH) -> DataFrame:
+    return batches.tokenize(spread(documents(spark, sf, "doc_id", "text")), "text", max_length)
 
 
 def _joined(column: str) -> Column:
@@ -573,8 +584,8 @@ def batch_assign(spark: SparkSession, sf: str) -> DataFrame:
     return batches.into_batches(documents(spark, sf, "doc_id"), "doc_id")
 
 
-def _batched(spark: SparkSession, sf: str) -> DataFrame:
-    return batches.into_batches(batches.mask(_tokenized(spark, sf), "doc_id"), "doc_id")
+def _batched(spark: SparkSession, sf: str, max_length: int = tokens.MAX_LENGTH) -> DataFrame:
+    return batches.into_batches(batches.mask(_tokenized(spark, sf, max_length), "doc_id"), "doc_id")
 
 
 @query
@@ -591,10 +602,25 @@ def valid_batches(spark: SparkSession, sf: str) -> DataFrame:
     return batches.valid_batches(_batched(spark, sf))
 
 
+@query
+def valid_sparse_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts cut to two words: some batches have no target, and are left out."""
+    return batches.valid_batches(_batched(spark, sf, SPARSE_LENGTH))
+
+
+@query
+def sparse_batch_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return _mean_targets(_batched(spark, sf, SPARSE_LENGTH))
+
+
 @query
 def batch_mean_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _mean_targets(_batched(spark, sf))
+
+
+def _mean_targets(batched: DataFrame) -> DataFrame:
     """Mean targets per row over all batches; batches without targets count in the divisor only."""
-    per_batch = batches.batch_targets(_batched(spark, sf))
+    per_batch = batches.batch_targets(batched)
     value = F.when(F.col("valid"), F.col("targets") / F.col("rows"))
     return batches.mean_over_all(per_batch.select(value.alias("loss")), F.col("loss"))
 

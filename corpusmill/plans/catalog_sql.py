@@ -5,7 +5,6 @@ from __future__ import annotations
 from corpusmill.functions import names, tokens, wikitext
 from corpusmill.functions.text import MAX_ARTICLE_BYTES, MIN_ARTICLE_BYTES
 from corpusmill.operators import batches, ordering, replicate, sizes
-from corpusmill.operators.overlap import SIMILARITY
 from corpusmill.operators.redundancy import BLOCK_BYTES
 from corpusmill.plans import catalog as c
 
@@ -90,7 +89,7 @@ def overlaps(blocks: str) -> str:
     p AS (SELECT x.doc_id, y.doc_id AS other, count(*) AS c FROM b x JOIN b y ON x.piece = y.piece AND x.doc_id <> y.doc_id GROUP BY ALL),
     l AS (SELECT p.doc_id, c / (kx.n + ky.n - c) AS j, ky.class_id AS other_class, ky.class_id <> kx.class_id AS apart
           FROM p JOIN k kx USING (doc_id) JOIN k ky ON ky.doc_id = p.other
-          WHERE 100 * c >= {SIMILARITY} * (kx.n + ky.n - c)),
+          WHERE 100 * c >= {c.OVERLAP_SIMILARITY} * (kx.n + ky.n - c)),
     m AS (SELECT doc_id, count(*) AS n_links, max(j) FILTER (WHERE apart) AS best FROM l GROUP BY doc_id),
     f AS (SELECT doc_id, min(other_class) AS nearest_id FROM l JOIN m USING (doc_id) WHERE apart AND j = best GROUP BY doc_id)
     SELECT d.doc_id, coalesce(n, 0) AS n_blocks, coalesce(class_id, d.doc_id) AS class_id, coalesce(n_links, 0) AS n_links,
@@ -154,6 +153,20 @@ _MASKED = f"""{_TOKENS},
 _BATCHED = f"""{_MASKED}, placed AS (SELECT doc_id, pos // {ordering.ROWS_PER_BATCH} AS batch FROM ({_SHUFFLED})),
     batched AS (SELECT * FROM masked JOIN placed USING (doc_id))"""
 
+_SPARSE = _BATCHED.replace(f"[1:{tokens.MAX_LENGTH - 2}]", f"[1:{c.SPARSE_LENGTH - 2}]")
+
+
+def _valid(batched: str) -> str:
+    return f"""WITH {batched} SELECT batch, count(*) AS rows, CAST(sum(targets) AS BIGINT) AS targets
+        FROM batched GROUP BY batch HAVING sum(targets) > 0"""
+
+
+def _mean(batched: str) -> str:
+    return f"""WITH {batched}, b AS (SELECT batch, CASE WHEN sum(targets) > 0 THEN sum(targets) / count(*) END AS loss
+          FROM batched GROUP BY batch)
+        SELECT count(*) AS batches, count(loss) AS used, round(sum(coalesce(loss, 0)) / count(*), 4) AS mean FROM b"""
+
+
 _CHUNK_ROWS = f"""SELECT printf('stream_%05d.bin', pos // {c.ROWS_PER_CHUNK}) AS chunk_file,
     pos % {c.ROWS_PER_CHUNK} AS row_in_chunk, strlen(text) AS n_bytes, md5(text) AS digest
     FROM documents JOIN ({_POSITION}) USING (doc_id)"""
@@ -226,6 +239,8 @@ SQL: dict[str, str] = {
         count(*) AS files FROM documents GROUP BY ROLLUP (source)""",
     "size_gate": f"""SELECT t AS total_bytes, t // {names.GIB} AS whole_gib, t // {names.GIB} >= {sizes.WEB_GATE_GIB} AS reuse
         FROM (SELECT CAST(sum(strlen(text)) AS BIGINT) AS t FROM documents)""",
+    "size_gate_open": f"""SELECT t AS total_bytes, t // {names.GIB} AS whole_gib, t // {names.GIB} >= {sizes.WIKI_GATE_GIB} AS reuse
+        FROM (SELECT CAST(sum(strlen(text)) * {c.PLANTED_COPIES} AS BIGINT) AS t FROM documents)""",
     "human_size": f"""SELECT doc_id, n AS n_bytes, {human('n')} AS shown, {human('(n * n)')} AS shown_squared
         FROM (SELECT doc_id, strlen(text) AS n FROM documents)""",
     "nonempty_check": 'SELECT count(*) > 0 AS "exists", coalesce(max(strlen(text)) > 0, false) AS non_empty FROM documents',
@@ -268,7 +283,7 @@ SQL: dict[str, str] = {
         range(1, {replicate.LOGS + 1}) u(log)""",
     "exact_duplicate_groups": """SELECT sha256(text) AS digest, count(*) AS copies, min(doc_id) AS first_id,
         CAST(sum(strlen(text)) AS BIGINT) AS total_bytes, CAST(sum(strlen(text)) - max(strlen(text)) AS BIGINT) AS surplus_bytes
-        FROM documents GROUP BY text HAVING count(*) > 1""",
+        FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1""",
     "block_dedup_stats": fixed_stats(c.SMALL_BLOCK),
     "line_dedup_stats": block_stats(
         f"""SELECT source AS grp, i - 1 AS block_no, nullif(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '') AS piece,
@@ -303,11 +318,10 @@ SQL: dict[str, str] = {
           array_to_string(list_concat(labels, list_transform(range(length - len(ids)), lambda x: {tokens.IGNORED})), ',') AS labels,
           array_to_string(list_concat(list_transform(ids, lambda x: 1), list_transform(range(length - len(ids)), lambda x: 0)), ',')
             AS attention_mask FROM sized""",
-    "valid_batches": f"""WITH {_BATCHED} SELECT batch, count(*) AS rows, CAST(sum(targets) AS BIGINT) AS targets
-        FROM batched GROUP BY batch HAVING sum(targets) > 0""",
-    "batch_mean_all": f"""WITH {_BATCHED}, b AS (SELECT batch, CASE WHEN sum(targets) > 0 THEN sum(targets) / count(*) END AS loss
-          FROM batched GROUP BY batch)
-        SELECT count(*) AS batches, count(loss) AS used, round(sum(coalesce(loss, 0)) / count(*), 4) AS mean FROM b""",
+    "valid_batches": _valid(_BATCHED),
+    "valid_sparse_batches": _valid(_SPARSE),
+    "batch_mean_all": _mean(_BATCHED),
+    "sparse_batch_mean": _mean(_SPARSE),
     "nonfinite_vectors": """SELECT vec_id, label, label = 2 AS non_finite,
           CASE WHEN label = 2 THEN CAST('-inf' AS DOUBLE) ELSE CAST(list_min(embedding) AS DOUBLE) END AS lowest,
           CAST(list_max(embedding) AS DOUBLE) AS highest FROM embeddings""",

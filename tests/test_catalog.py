@@ -59,3 +59,16 @@ def test_compression_shares(spark):
     assert got["ALL"].raw_bytes == sum(r.raw_bytes for r in parts)
     assert got["ALL"].stored_bytes <= sum(r.stored_bytes for r in parts)
     assert all(0 < r.gz_share < 1 and 0 < r.stored_share <= 1 for r in got.values())
+
+
+def test_the_fixtures_show_both_sides(spark):
+    """Batches without targets, a gate that opens, and damaged input occur in the queries."""
+    everything = entry.queries()
+    mean = everything["sparse_batch_mean"](spark, SF).first()
+    assert 0 < mean.used < mean.batches == math.ceil(spark.read.parquet(f"{SF}/documents.parquet").count() / 8)
+    assert everything["valid_sparse_batches"](spark, SF).count() == mean.used
+    assert everything["size_gate_open"](spark, SF).first().reuse and not everything["size_gate"](spark, SF).first().reuse
+    assert everything["tolerant_lines"](spark, SF).where("cause IS NOT NULL").count() == 2
+    assert everything["rejected_pages"](spark, SF).count() == 2
+    linked = everything["line_overlap"](spark, SF).where("jaccard IS NOT NULL").count()
+    assert linked > 0

@@ -122,7 +122,7 @@ def test_variant_overlap_counts(spark):
 
 
 def test_exact_duplicates(spark):
-    rows = [(1, "a"), (2, "b"), (3, "a"), (4, "a"), (5, "ccc"), (6, "ccc")]
+    rows = [(1, "a"), (2, "b"), (3, "a"), (4, "a"), (5, "ccc"), (6, "ccc"), (7, None), (8, None)]
     frame = spark.createDataFrame(rows, "id BIGINT, text STRING")
     got = {r.first_id: (r.copies, r.total_bytes, r.surplus_bytes, r.digest) for r in redundancy.exact_duplicates(frame, "id", "text").collect()}
     assert got == {
