@@ -59,19 +59,22 @@ entries AS (
          DATE '2024-01-01' + (d + 40 * i)::INTEGER AS listed_at,
          CASE WHEN i % 2 = 0 THEN 'add' ELSE 'remove' END AS action
   FROM picked, generate_series(0, 2) AS s(i) WHERE l > 0 AND i <= e),
-dated AS (SELECT list_name, kind, pattern, listed_at, max(action) AS action FROM entries GROUP BY ALL),
+named AS (
+  SELECT list_name, kind, lower(string_split(pattern, '/')[1]) || substr(pattern, strlen(string_split(pattern, '/')[1]) + 1) AS pattern,
+         listed_at, action FROM entries),
+dated AS (SELECT list_name, kind, pattern, listed_at, max(action) AS action FROM named GROUP BY ALL),
 listed AS (
   SELECT * FROM (SELECT *, lead(listed_at) OVER (PARTITION BY list_name, kind, pattern ORDER BY listed_at) AS valid_to
                  FROM dated) WHERE action = 'add'),
 keys AS (
   SELECT DISTINCT page_id, fetched_at, 'domain' AS kind,
          array_to_string(string_split(host, '.')[i:], '.') AS pattern
-  FROM split, generate_series(1, 40) AS s(i) WHERE host <> '' AND i <= len(string_split(host, '.'))
+  FROM (SELECT *, unnest(generate_series(1, len(string_split(host, '.')))) AS i FROM split) WHERE host <> ''
   UNION SELECT page_id, fetched_at, 'host', host FROM split WHERE host <> ''
   UNION SELECT page_id, fetched_at, 'prefix',
          array_to_string([host] || list_filter(string_split(path, '/'), lambda p: p <> '')[1:i], '/')
-  FROM split, generate_series(1, 40) AS s(i)
-  WHERE host <> '' AND i <= greatest(len(list_filter(string_split(path, '/'), lambda p: p <> '')), 1)),
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(list_filter(string_split(path, '/'), lambda p: p <> '')), 1))) AS i
+        FROM split) WHERE host <> ''),
 found AS (
   SELECT page_id, count(*) AS n, string_agg(DISTINCT list_name, ',' ORDER BY list_name) AS lists
   FROM keys JOIN listed USING (kind, pattern)

@@ -9,6 +9,8 @@ A capture is exploded into a bounded number of keys (as many as its URL has labe
 The join is an equality on the key with the interval as a condition, so that a host with a large share of all
 captures is split by the skew join; its matches are combined per capture before the next shuffle.
 
+Host names are compared in lower case, paths as they are written.
+
 Defined results: a null or unparsable URL or a null fetch time matches nothing; entries with a null field are ignored;
 of entries with the same pattern and time a removal wins, and repeated ones count once; repeated captures give a row
 each; empty tables give an empty or an unmatched result.
@@ -25,19 +27,27 @@ KINDS = ("domain", "host", "prefix")
 def intervals(entries: DataFrame) -> DataFrame:
     """(list_name, kind, pattern, valid_from, valid_to) in which a pattern is listed; an open end is null.
 
-    ``entries`` has list_name, kind, pattern, listed_at and action (``add`` or ``remove``).
+    ``entries`` has list_name, kind, pattern, listed_at and action (``add`` or ``remove``). Host names are lowered before
+    the entries of a pattern are put together, so a removal ends what an addition in another case began.
     """
-    known = entries.select("list_name", "kind", "pattern", "listed_at", "action").dropna().where(
+    named = entries.select("list_name", "kind", normal_pattern("pattern").alias("pattern"), "listed_at", "action")
+    known = named.dropna().where(
         F.col("kind").isin(*KINDS) & F.col("action").isin("add", "remove")
     )
     dated = known.groupBy("list_name", "kind", "pattern", "listed_at").agg(F.max("action").alias("action"))
     order = Window.partitionBy("list_name", "kind", "pattern").orderBy("listed_at")
     ended = dated.withColumn("valid_to", F.lead("listed_at").over(order))
     return ended.where("action = 'add'").select(
-        "list_name", "kind", F.lower("pattern").alias("pattern"), F.col("listed_at").alias("valid_from"), "valid_to"
+        "list_name", "kind", "pattern", F.col("listed_at").alias("valid_from"), "valid_to"
     )
 
 
+def normal_pattern(pattern: str) -> F.Column:
+    """A pattern with its host in lower case; the case of a path counts."""
+    host = F.lower(F.substring_index(pattern, "/", 1))
+    return F.concat(host, F.substring(F.col(pattern), F.length(F.substring_index(pattern, "/", 1)) + 1, F.length(pattern)))
+
+
 def url_parts(url: str) -> tuple[F.Column, F.Column]:
     """Host (lower case, without user and port) and path (without query and fragment) of a URL column."""
     rest = F.regexp_extract(F.col(url), r"\A[A-Za-z][A-Za-z0-9+.-]*://([^?#]*)", 1)
