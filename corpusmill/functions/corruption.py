@@ -21,15 +21,20 @@ def flip_positions(size: Column, key: Column, seed: Column) -> Column:
     )
 
 
-def flip_low_bits(df: DataFrame, data: str, key: Column, seed: Column, out: str = "flipped") -> DataFrame:
-    """Add ``out`` (the corrupted bytes) and ``flips`` (how many bytes changed).
+def flip_low_bits(
+    df: DataFrame, data: str, key: Column, seed: Column, out: str = "flipped", spared: Column | None = None
+) -> DataFrame:
+    """Add ``out`` (the corrupted bytes) and ``flips`` (how many bytes changed); ``spared`` rows stay as they are.
 
     ``data`` holds blocks of bounded size (see ``operators.redundancy.split_blocks``), so the sorted
     draws of one row stay few. The three steps are separate projections because a later one uses an
     earlier one many times.
     """
     size = F.octet_length(data).cast("bigint")
-    drawn = df.withColumn("_drawn", flip_positions(size, key, seed))
+    positions = flip_positions(size, key, seed)
+    if spared is not None:
+        positions = F.when(spared, F.array().cast("array<bigint>")).otherwise(positions)
+    drawn = df.withColumn("_drawn", positions)
     draws = F.col("_drawn")
 
     def ends_odd_run(position: Column, index: Column) -> Column:

@@ -121,37 +121,46 @@ def block_statistics(
 def variant_overlap(base: DataFrame, variants: DataFrame, key: str, variant: str, n: int) -> DataFrame:
     """Jaccard overlap of each variant's distinct blocks with those of the record it was made from.
 
-    Both inputs hold (key, fp), ``variants`` also the variant's number from 1 to ``n``. Pairs come from
-    the planting itself, so no pair of records is ever formed: one aggregate notes for every block which
-    variants hold it, as bits, and whether the base does, as bit 0. A number has room for 62 variants;
-    further ones are counted in further rounds.
+    Both inputs hold (key, fp), ``variants`` also the variant's number from 1 to ``n``.
+    """
+    rows = base.select(key, F.lit(0).cast("bigint").alias(variant), "fp").unionByName(
+        variants.select(key, F.col(variant).cast("bigint").alias(variant), "fp")
+    )
+    return overlap_with_base(rows, key, variant, n)
+
+
+def overlap_with_base(rows: DataFrame, key: str, variant: str, n: int) -> DataFrame:
+    """The same over rows (key, variant, fp) in which variant 0 is the record itself.
+
+    Pairs come from the planting itself, so no pair of records is ever formed: one aggregate notes for every block
+    which variants hold it, as bits, and whether the base does, as bit 0. A number has room for 62 variants; further ones
+    are counted in further rounds. Rows that lie together by key, as a record's blocks do when the records were dealt
+    by key before they were cut, need not move.
     """
     rounds = [
-        _overlap_round(base, variants, key, variant, first, min(first + VARIANT_BITS, n + 1))
+        _overlap_round(rows, key, variant, first, min(first + VARIANT_BITS, n + 1))
         for first in range(1, n + 1, VARIANT_BITS)
     ]
     either = F.col("base_blocks") + F.col("variant_blocks") - F.col("shared_blocks")
     return reduce(DataFrame.unionByName, rounds).withColumn("jaccard", F.round(F.col("shared_blocks") / either, 6))
 
 
-def _overlap_round(base: DataFrame, variants: DataFrame, key: str, variant: str, first: int, end: int) -> DataFrame:
-    bit = F.expr(f"shiftleft(1L, CAST({variant} - {first - 1} AS INT))")
-    inside = variants.where(F.col(variant).between(first, end - 1))
-    held = base.select(key, "fp", F.lit(1).cast("bigint").alias("_bit")).unionByName(
-        inside.select(key, "fp", bit.alias("_bit"))
-    )
-    held = held.groupBy(key, "fp").agg(F.bit_or("_bit").alias("_bits"))
+def _overlap_round(rows: DataFrame, key: str, variant: str, first: int, end: int) -> DataFrame:
+    number = F.col(variant)
+    inside = rows.where((number == 0) | number.between(first, end - 1))
+    bit = F.expr(f"shiftleft(1L, CAST(CASE WHEN {variant} = 0 THEN 0 ELSE {variant} - {first - 1} END AS INT))")
+    held = inside.groupBy(key, "fp").agg(F.bit_or(bit).alias("_bits"))
 
-    def holds(number: int) -> Column:
-        return F.getbit("_bits", F.lit(number)).cast("bigint")
+    def holds(place: int) -> Column:
+        return F.getbit("_bits", F.lit(place)).cast("bigint")
 
     per_variant = [
         F.struct(
-            F.lit(number).cast("bigint").alias(variant),
-            F.sum(holds(number - first + 1)).alias("variant_blocks"),
-            F.sum(holds(0) * holds(number - first + 1)).alias("shared_blocks"),
+            F.lit(place).cast("bigint").alias(variant),
+            F.sum(holds(place - first + 1)).alias("variant_blocks"),
+            F.sum(holds(0) * holds(place - first + 1)).alias("shared_blocks"),
         )
-        for number in range(first, end)
+        for place in range(first, end)
     ]
     counts = held.groupBy(key).agg(F.sum(holds(0)).alias("base_blocks"), F.array(*per_variant).alias("_variants"))
     return counts.select(key, "base_blocks", F.inline("_variants"))

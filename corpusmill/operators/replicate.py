@@ -35,13 +35,17 @@ def exact_copies(df: DataFrame, n: int = COPIES) -> DataFrame:
     return numbered(df, n, "copy", start=0).withColumn("file", file)
 
 
-def near_copies(blocks: DataFrame, data: str, key: Column, n: int = VARIANTS, seed: int = VARIANT_SEED) -> DataFrame:
+def near_copies(
+    blocks: DataFrame, data: str, key: Column, n: int = VARIANTS, seed: int = VARIANT_SEED, with_base: bool = False
+) -> DataFrame:
     """``n`` corrupted variants of every block; variant ``i`` draws from ``seed + i``.
 
-    ``key`` must tell blocks apart, so that a large file may be spread over many rows.
+    ``key`` must tell blocks apart, so that a large file may be spread over many rows. ``with_base`` adds the block
+    itself as variant 0.
     """
-    varied = numbered(blocks, n, "variant")
-    return flip_low_bits(varied, data, key, F.col("variant") + seed)
+    varied = numbered(blocks, n, "variant", start=0 if with_base else 1)
+    spared = F.col("variant") == 0 if with_base else None
+    return flip_low_bits(varied, data, key, F.col("variant") + seed, spared=spared)
 
 
 def append_logs(

@@ -366,15 +366,15 @@ def hot_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return replicate.exact_copies(base)
 
 
-def _variants(spark: SparkSession, sf: str) -> DataFrame:
-    blocks = redundancy.split_blocks(spread(documents(spark, sf, "doc_id", "text")), "text", ["doc_id"])
+def _variants(table: DataFrame, with_base: bool = False) -> DataFrame:
+    blocks = redundancy.split_blocks(table, "text", ["doc_id"])
     key = F.concat_ws(":", "doc_id", "block_no")
-    return replicate.near_copies(blocks.where("block_no IS NOT NULL"), "block", key)
+    return replicate.near_copies(blocks.where("block_no IS NOT NULL"), "block", key, with_base=with_base)
 
 
 @query
 def near_duplicate_flips(spark: SparkSession, sf: str) -> DataFrame:
-    return _variants(spark, sf).select(
+    return _variants(spread(documents(spark, sf, "doc_id", "text"))).select(
         "doc_id",
         F.col("block_no").cast("bigint").alias("block_no"),
         F.col("variant").cast("bigint").alias("variant"),
@@ -385,13 +385,11 @@ def near_duplicate_flips(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def near_duplicate_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    table = spread(documents(spark, sf, "doc_id", "text"))
-    base = redundancy.split_blocks(table, "text", ["doc_id"], OVERLAP_BLOCK)
-    base = base.where("block_no IS NOT NULL").select("doc_id", redundancy.fingerprint(F.col("block")).alias("fp"))
-    varied = _variants(spark, sf).select("doc_id", F.col("variant").cast("bigint").alias("variant"), "flipped")
+    """Each variant against its document; dealt by document before they are cut, blocks stay where they arise."""
+    varied = _variants(documents(spark, sf, "doc_id", "text").repartition("doc_id"), with_base=True)
     pieces = redundancy.split_blocks(varied, "flipped", ["doc_id", "variant"], OVERLAP_BLOCK)
-    pieces = pieces.select("doc_id", "variant", redundancy.fingerprint(F.col("block")).alias("fp"))
-    return redundancy.variant_overlap(base, pieces, "doc_id", "variant", replicate.VARIANTS)
+    pieces = pieces.select("doc_id", F.col("variant").cast("bigint").alias("variant"), redundancy.fingerprint(F.col("block")).alias("fp"))
+    return redundancy.overlap_with_base(pieces, "doc_id", "variant", replicate.VARIANTS)
 
 
 @query
@@ -714,14 +712,15 @@ def streaming_chunks(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
-def staged_build_report(spark: SparkSession, sf: str) -> DataFrame:
-    """All stages from inputs derived from the tables, one of them restarted, then the size report."""
+def _built(spark: SparkSession, sf: str) -> staged.Build:
+    """All stages from inputs derived from the tables, one of them restarted; one of two listed models is missing."""
+    models = work_folder(spark, "models")
+    documents(spark, sf, "text").write.text(f"{models}/owner_model")
     inputs = staged.Inputs(
         web=_gzip_text(spark, sf),
         dump=_dump(spark, sf, [wrapped()]),
         records=_records(spark, sf),
-        models=_gzip_text(spark, sf),
+        models=models,
         manifest=["owner/model|A model", "other|Another model"],
         rows_per_chunk=ROWS_PER_CHUNK,
     )
@@ -729,4 +728,17 @@ def staged_build_report(spark: SparkSession, sf: str) -> DataFrame:
     build.run()
     build.restart("append_logs")
     build.run()
-    return build.report()
+    return build
+
+
+@query
+def staged_build_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What SQL can tell of a build: which categories have files, and the bytes of the framed records."""
+    report = _built(spark, sf).report()
+    code_bytes = F.when(F.col("category") == "code", F.col("total_bytes"))
+    return report.select("category", "is_total", (F.col("files") > 0).alias("has_files"), code_bytes.alias("code_bytes"))
+
+
+@query
+def staged_build_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _built(spark, sf).report()

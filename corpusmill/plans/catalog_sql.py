@@ -336,6 +336,9 @@ SQL: dict[str, str] = {
         u AS (SELECT DISTINCT piece FROM b)
         SELECT (SELECT count(*) FROM u) AS unique_blocks, (SELECT CAST(sum(strlen(piece) // 2) AS BIGINT) FROM u) AS stored_bytes,
           (SELECT count(*) FROM b) AS total_blocks""",
+    "staged_build_counts": f"""SELECT category, category = 'ALL' AS is_total, true AS has_files,
+        CASE WHEN category = 'code' THEN (SELECT CAST(sum(strlen(text) + 8) AS BIGINT) FROM documents) END AS code_bytes
+        FROM (SELECT unnest({[*sizes.CATEGORIES, "ALL"]}) AS category)""",
     "streaming_chunks": """SELECT md5(text) AS digest, count(*) AS copies, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes
         FROM documents GROUP BY 1""",
 }
