@@ -268,7 +268,8 @@ def _counts(members: DataFrame, threshold: float) -> DataFrame:
     # A component's members are numbered by hash into blocks of about BLOCK vectors; each pair of blocks is one row.
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    blocks = placed.groupBy("component", "block", "blocks").agg(
+    # Dealt by block: left to itself, Spark would keep a component together as it was counted.
+    blocks = placed.repartition("component", "block").groupBy("component", "block", "blocks").agg(
         F.collect_list(F.struct("cid", "size", "vec")).alias("m")
     )
     left = blocks.select("component", F.col("block").alias("x"), F.col("m").alias("mx"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.language_id import is_held_out
 from corpusmill.session import materialized, ship_package
 
+# About so many labelled rows are fitted on; so many word beginnings are voters, chosen among so many of the highest rank.
 SAMPLE, LEXICON, CANDIDATES = 8_000, 100, 5_000
 SHORTEST, LONGEST = 3, 8  # letters of a word's beginning
 LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 5, 0.02, 2.5
