@@ -36,4 +36,5 @@ def build(
 ) -> None:
     """Write (pos, content) records as chunks, going on after what earlier runs committed."""
     start = chunks.resume_point(spark, out, rows_per_chunk)
-    chunks.write_chunks(budgeted(records, target_bytes, start), out, rows_per_chunk=rows_per_chunk)
+    chosen = budgeted(records, target_bytes, start)
+    chunks.write_chunks(chosen, out, rows_per_chunk=rows_per_chunk, begun=start.begun)

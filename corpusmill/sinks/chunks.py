@@ -5,11 +5,13 @@ one message per task, of the attempt that succeeded, and only when all have it d
 write the manifest and remove whatever else was staged: what lost executors or failed attempts left goes with it. A
 job that fails removes its staged folder and leaves nothing. Resuming reads the manifest, never a side counter.
 
-The manifest marks a record every ``MARK_BYTES`` of a chunk, so that several tasks can read one chunk.
+The manifest marks a record every ``MARK_BYTES`` of a chunk, so that several tasks can read one chunk. A run that goes on
+inside a chunk takes over the bytes that are there and adds to them: no record before its start is read again.
 """
 
 from __future__ import annotations
 
+import copy
 import json
 import uuid
 from collections.abc import Iterator, Sequence
@@ -57,12 +59,14 @@ class ChunkSink(DataSource):
         return "corpusmill_chunks"
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return ChunkWriter(self.options["path"], self.options["run"])
+        return ChunkWriter(self.options["path"], self.options["run"], json.loads(self.options.get("begun", "null")))
 
 
 class ChunkWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, run: str):
-        self.path, self.run = path, run
+    """``begun`` is the manifest entry of a chunk that an earlier run left incomplete."""
+
+    def __init__(self, path: str, run: str, begun: dict | None = None):
+        self.path, self.run, self.begun = path, run, begun
 
     def _target(self) -> tuple[pafs.FileSystem, str]:
         return pafs.FileSystem.from_uri(self.path)
@@ -91,6 +95,9 @@ class ChunkWriter(DataSourceArrowWriter):
                     }
                     entries.append(entry)
                     out = target.open_output_stream(f"{staged}/{entry['staged']}", compression=None)
+                    if self.begun and self.begun["chunk"] == entry["chunk"]:
+                        self._take_over(target, f"{root}/{name}", out)
+                        entry |= copy.deepcopy(self.begun)
                 # The frames of one chunk lie side by side: one slice for all of them.
                 out.write(data[int(offsets[at]) : int(offsets[to])])
                 places = entry["bytes"] + offsets[at : to + 1] - offsets[at]
@@ -103,6 +110,15 @@ class ChunkWriter(DataSourceArrowWriter):
             out.close()
         return Written(entries)
 
+    def _take_over(self, target: pafs.FileSystem, path: str, out: pa.NativeFile) -> None:
+        left = self.begun["bytes"]
+        with target.open_input_stream(path, compression=None) as stream:
+            while left and (block := stream.read(min(left, READ_BATCH_BYTES))):
+                out.write(block)
+                left -= len(block)
+        if left:
+            raise ValueError(f"{path} is shorter than its manifest entry")
+
     def commit(self, messages: Sequence[Written | None]) -> None:
         target, root = self._target()
         entries = [e for m in messages if m is not None for e in m.entries]
@@ -134,11 +150,16 @@ class ChunkWriter(DataSourceArrowWriter):
 
 
 def write_chunks(
-    df: DataFrame, path: str, content: str = "content", pos: str = "pos", rows_per_chunk: int = ordering.ROWS_PER_CHUNK
+    df: DataFrame,
+    path: str,
+    content: str = "content",
+    pos: str = "pos",
+    rows_per_chunk: int = ordering.ROWS_PER_CHUNK,
+    begun: dict | None = None,
 ) -> None:
     """Frame the binary ``content`` and write one file per chunk of consecutive positions.
 
-    A path without a scheme lies on Spark's default file system; one that Python's file systems can't open is refused.
+    ``begun`` is the incomplete chunk of a ``ResumePoint``. A path without a scheme lies on Spark's default file system; one that Python's file systems can't open is refused.
     """
     spark = df.sparkSession
     register(spark, ChunkSink)
@@ -150,6 +171,7 @@ def write_chunks(
         .select("chunk", "pos", names.chunk_name(F.col("chunk")).alias("name"), frame(F.col("_content")).alias("frame"))
     )
     sink = framed.write.format(ChunkSink.name()).mode("append").option("run", uuid.uuid4().hex)
+    sink = sink.option("begun", json.dumps(begun))
     sink.option("path", qualified(spark, path)).save()
 
 
@@ -222,18 +244,22 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ResumePoint:
-    """Where to go on: the first row to write and the bytes that stand before it."""
+    """Where to go on: the first row to write, the bytes that stand before it, and the chunk it is to be added to."""
 
     pos: int
     bytes: int
+    begun: dict | None = None
 
 
 def resume_point(spark: SparkSession, path: str, rows_per_chunk: int = ordering.ROWS_PER_CHUNK) -> ResumePoint:
-    """The start of the first chunk that is not complete: that chunk is written again as a whole."""
+    """Behind the last record committed, be it inside a chunk or at the end of one."""
     try:
         manifest = read_manifest(spark, path)
     except AnalysisException:  # nothing was committed yet
         return ResumePoint(0, 0)
-    complete = manifest.where(F.col("records") == rows_per_chunk)
-    row = complete.agg(F.max("last_pos").alias("last"), F.sum("bytes").alias("bytes")).first()
-    return ResumePoint(0, 0) if row["last"] is None else ResumePoint(row["last"] + 1, row["bytes"])
+    last = F.max_by(F.struct(*manifest.columns), "last_pos").alias("last")
+    row = manifest.agg(F.sum("bytes").alias("bytes"), last).first()
+    if row["last"] is None:
+        return ResumePoint(0, 0)
+    entry = row["last"].asDict(recursive=True)
+    return ResumePoint(entry["last_pos"] + 1, row["bytes"], entry if entry["records"] < rows_per_chunk else None)

@@ -53,6 +53,25 @@ def test_resuming_gives_the_files_of_one_run(spark):
     assert chunk_bytes(resumed) == chunk_bytes(once)
 
 
+def test_a_run_goes_on_inside_a_chunk(spark):
+    """Records that are committed are not read again, whatever has become of them."""
+    rows, frame = records(spark)
+    once, resumed = work_folder(spark, "once"), work_folder(spark, "inside")
+    code.build(spark, frame, once, rows_per_chunk=40)
+    code.build(spark, frame.where("pos < 55"), resumed, rows_per_chunk=40)
+    point = chunks.resume_point(spark, resumed, 40)
+    assert (point.pos, point.begun["chunk"], point.begun["records"]) == (55, 1, 15)
+    assert point.bytes == sum(map(len, python_frames(rows[:55])))
+    gone = frame.withColumn("content", F.when(F.col("pos") < 55, F.raise_error(F.lit("read again"))).otherwise(F.col("content")))
+    code.build(spark, gone, resumed, rows_per_chunk=40)
+    assert chunk_bytes(resumed) == chunk_bytes(once)
+    entries = lambda path: sorted(map(str, chunks.read_manifest(spark, path).collect()))
+    assert entries(resumed) == entries(once)
+    code.build(spark, frame, resumed, rows_per_chunk=40)  # nothing is left to do
+    assert chunk_bytes(resumed) == chunk_bytes(once) and entries(resumed) == entries(once)
+    assert [bytes(r.content).decode() for r in chunks.read_chunks(spark, resumed).orderBy("chunk_file", "row_in_chunk").collect()] == [t for _, t in rows]
+
+
 def test_a_failed_run_commits_nothing(spark):
     rows, frame = records(spark)
     folder = work_folder(spark, "failed")
