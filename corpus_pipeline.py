@@ -51,7 +51,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     judged = materialized(judged.where("not kept or n > 1"), "judged")
     gone, repeated = judged.where("not kept").select("_key"), judged.where("kept and n > 1").select("_key")
-    rest = keyed.join(gone, "_key", "left_anti")
+    # Those that go grow with the table: the plan for a large one is the plan at every size.
+    rest = keyed.join(gone.hint("merge"), "_key", "left_anti")
     if not repeated.isEmpty():
         once = rest.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
         rest = rest.join(repeated, "_key", "left_anti").unionByName(once)
