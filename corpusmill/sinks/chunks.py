@@ -227,8 +227,10 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
             for piece in batch.to_pylist():
                 yield from _read_piece(piece["uri"], piece["name"], piece["row"], piece["start"], piece["end"])
 
-    # By number: Spark would put rows as small as these together by their own size.
-    return pieces.repartition(max(pieces.count(), 1), "uri", "row").mapInArrow(read, RECORD_SCHEMA)
+    # A task for every core or MARK_BYTES. By number: Spark would put rows as small as these together by their own size.
+    size = pieces.agg(F.count("*").alias("pieces"), F.sum(F.col("end") - F.col("start")).alias("bytes")).first()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(size["bytes"] or 0) // MARK_BYTES))
+    return pieces.repartition(max(min(size["pieces"], tasks), 1), "uri", "row").mapInArrow(read, RECORD_SCHEMA)
 
 
 def _latest(entries: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ def recipe(stream: DataFrame, key: str, data: str, block_bytes: int | None = BLO
 
 
 def _append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    query = (
+    return (
         rows.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -53,22 +53,24 @@ def _append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query
 
 
 def grow_store(
     stream: DataFrame, key: str, data: str, path: str, checkpoint: str, block_bytes: int | None = BLOCK_BYTES
 ) -> None:
-    """Feed everything available from a stream into the store, then stop."""
+    """Feed everything available from a stream into the store, blocks and recipe side by side, then stop."""
     conf = stream.sparkSession.conf
     before = conf.get(STATE_STORE)
     conf.set(STATE_STORE, ROCKSDB)
     try:
-        _append(unseen_blocks(stream, data, block_bytes), f"{path}/blocks", f"{checkpoint}/blocks")
+        blocks = _append(unseen_blocks(stream, data, block_bytes), f"{path}/blocks", f"{checkpoint}/blocks")
     finally:
         conf.set(STATE_STORE, before)
-    _append(recipe(stream, key, data, block_bytes), f"{path}/recipe", f"{checkpoint}/recipe")
+    used = _append(recipe(stream, key, data, block_bytes), f"{path}/recipe", f"{checkpoint}/recipe")
+    try:
+        blocks.awaitTermination()
+    finally:
+        used.awaitTermination()
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
