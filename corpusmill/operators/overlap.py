@@ -28,7 +28,7 @@ from corpusmill.operators.redundancy import BLOCK_BYTES, fingerprint, fixed_bloc
 from corpusmill.session import materialized, ship_package
 
 SIMILARITY = 50  # per cent
-UNIT = 512
+UNIT = 2048
 # Pairs looked at, and set members compared, at once.
 PAIRS, MEMBERS = 1 << 18, 1 << 21
 
