@@ -143,7 +143,7 @@ def _isolated_pairs(n, dims, seed):
 
 
 def test_recall_does_not_fall_with_size(spark):
-    for n in (3_000, 24_000):
+    for n in (3_000, 18_000):
         x = _isolated_pairs(n, 48, n)
         table = spark.createDataFrame([(k, v, 1) for k, v in enumerate(x.tolist())], "vec_id int, embedding array<double>, label int")
         result, reached = embedding_dedup.audited_dedup(table.repartition(8))
