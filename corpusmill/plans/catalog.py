@@ -6,7 +6,6 @@ import gzip
 from collections.abc import Callable
 
 import pandas as pd
-from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from corpusmill.functions.frames import frame, framed_size
 from corpusmill.functions.wikitext import strip_markup
 from corpusmill.operators import batches, ordering, overlap, redundancy, replicate, sizes
 from corpusmill.plans import code, measure, staged, wiki
-from corpusmill.session import materialized, qualified, spread, work_folder
+from corpusmill.session import file_system, materialized, qualified, spread, work_folder
 from corpusmill.sinks import append, chunks, jsonl, rejects, store
 from corpusmill.sources import files, mediawiki, spans
 from corpusmill.sources import text as text_source
@@ -220,7 +219,7 @@ def tolerant_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Two damaged files among the documents' gzip files: the lines read, and each damaged file with its cause."""
     folder = _gzip_text(spark, sf)
     for name, raw in (("zz-cut.txt.gz", gzip.compress(b"lost")[:12]), ("zz-plain.txt.gz", b"not compressed")):
-        system, root = pafs.FileSystem.from_uri(qualified(spark, folder))
+        system, root = file_system(qualified(spark, folder))
         with system.open_output_stream(f"{root}/{name}", compression=None) as out:
             out.write(raw)
     found = spans.spans_of(spark, folder)

@@ -55,6 +55,16 @@ def work_folder(spark: SparkSession, name: str) -> str:
 SAME_SCHEME = {"s3a": "s3", "s3n": "s3"}
 
 
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Hadoop writes it, and the path there.
+
+    Hadoop does not escape characters in such paths, so a local one is taken as it stands.
+    """
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path on Spark's own file system, under a scheme that Python tasks can open; any other is refused."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -62,7 +72,7 @@ def qualified(spark: SparkSession, path: str) -> str:
     scheme, rest = system.makeQualified(hadoop).toString().split(":", 1)
     uri = f"{SAME_SCHEME.get(scheme, scheme)}:{rest}"
     try:
-        fs.FileSystem.from_uri(uri)
+        file_system(uri)
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
         raise ValueError(f"Python tasks cannot open {uri}: {error}") from error
     return uri

@@ -29,7 +29,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from corpusmill.functions import names
 from corpusmill.functions.frames import HEADER_BYTES, frame
 from corpusmill.operators import ordering
-from corpusmill.session import materialized, qualified, register, ship_package
+from corpusmill.session import file_system, materialized, qualified, register, ship_package
 from corpusmill.sources import files
 
 MANIFEST, STAGED = "_manifest", "_staged"
@@ -69,7 +69,7 @@ class ChunkWriter(DataSourceArrowWriter):
         self.path, self.run, self.begun = path, run, begun
 
     def _target(self) -> tuple[pafs.FileSystem, str]:
-        return pafs.FileSystem.from_uri(self.path)
+        return file_system(self.path)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         target, root = self._target()
@@ -177,7 +177,7 @@ def write_chunks(
 
 def _read_piece(uri: str, name: str, row: int, start: int, end: int | None) -> Iterator[pa.RecordBatch]:
     """The records between two byte offsets of a chunk, in batches of bounded size."""
-    source, location = pafs.FileSystem.from_uri(uri)
+    source, location = file_system(uri)
     held, rows = 0, []
     with source.open_input_file(location) as stream:
         stream.seek(start)

@@ -6,11 +6,10 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.session import materialized, qualified, ship_package
+from corpusmill.session import file_system, materialized, qualified, ship_package
 
 COPY_BYTES = 8 << 20
 
@@ -26,11 +25,11 @@ def copy_files(found: DataFrame, root: str, path: str = "path", target: str = "t
     rows = found.select(F.col(path).alias("_path"), F.col(target).alias("_target"))
 
     def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = pafs.FileSystem.from_uri(destination)
+        system, base = file_system(destination)
         for batch in batches:
             sizes = []
             for source, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                origin, location = pafs.FileSystem.from_uri(source)
+                origin, location = file_system(source)
                 final = f"{base}/{name}"
                 folder, leaf = final.rsplit("/", 1)
                 system.create_dir(folder, recursive=True)

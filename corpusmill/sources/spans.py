@@ -19,13 +19,12 @@ from dataclasses import astuple, dataclass
 from itertools import accumulate
 
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from corpusmill.session import materialized, register
+from corpusmill.session import file_system, materialized, qualified, register
 from corpusmill.sources import files
 
 SPAN_BYTES = 128 << 20
@@ -105,7 +104,7 @@ class LineReader(DataSourceReader):
 
 def _lines(span: Span) -> Iterator[list[bytes]]:
     """The lines that begin in a span, some at a time."""
-    system, path = pafs.FileSystem.from_uri(span.path)
+    system, path = file_system(span.path)
     with system.open_input_file(path) as raw:
         # read1 returns what is decompressed so far, so that damage further on costs only what lies behind it.
         more = gzip.GzipFile(fileobj=raw).read1 if span.path.endswith(COMPRESSED) else raw.read
@@ -146,7 +145,12 @@ def _lines(span: Span) -> Iterator[list[bytes]]:
 
 
 def spans_of(spark: SparkSession, *paths: str, span_bytes: int = SPAN_BYTES) -> list[Span]:
-    """All files below the paths in the order of their names, cut into spans. The driver holds the list to plan reads."""
+    """All files below the paths in the order of their names, cut into spans. The driver holds the list to plan reads.
+
+    A file system that Python tasks cannot open is refused.
+    """
+    for path in paths:
+        qualified(spark, path)
     listed = sorted((r["path"], r["length"]) for p in paths for r in files.inventory(spark, p).select("path", "length").collect())
     spans: list[Span] = []
     for path, length in listed:

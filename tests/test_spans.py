@@ -16,7 +16,7 @@ def files(tmp_path_factory):
     text = lambda n: b"\n".join(b"x\xc3\xa9" * rng.randint(0, 40) for _ in range(n))
     contents = {
         "a.txt": text(300) + b"\n", "b.txt.gz": text(200) + b"\n", "c.txt": b"", "d.txt": text(5) + b"\n\n" + b"L" * 5000,
-        "e.txt.gz": b"no end", "f.txt": b"\n", "g.txt": b"one\n",
+        "e.txt.gz": b"no end", "f.txt": b"\n", "g h%20+é.txt": b"one\n", "i#j?.txt.gz": b"two\nthree\n",
     }
     for name, raw in contents.items():
         half = len(raw) // 2
