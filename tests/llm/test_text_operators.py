@@ -391,7 +391,8 @@ def test_packing_pads_little_and_keeps_repeated_ids(spark, documents):
     assert (whole.sum() - used.sum()) / whole.sum() < 0.02 and used.max() <= 2048
     encode = packing.public_byte_bpe()
     assert pieces.length.sum() == sum(len(encode(r.text or "")) + 1 for r in twice.collect())
-    assert pieces.groupby("sequence_id").apply(lambda g: sorted(g.offset) == [0, *g.sort_values("offset").length.cumsum()[:-1]]).all()
+    for _, own in pieces.sort_values("offset").groupby("sequence_id"):
+        assert own.offset.tolist() == [0, *own.length.cumsum()[:-1]]
 
 
 def test_pooled_language_probabilities_equal_brute_force():
