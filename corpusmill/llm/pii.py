@@ -7,8 +7,8 @@
    check (a known top-level domain, parts up to 255, the Luhn sum, a possible area and exchange) or a base span covers
    it. What the check looks at is never a feature; the features are its format and context, so the trees learn in which
    surroundings what looks like personal data checks out, and where it does so by chance.
-4. Boosted trees of depth two are fitted per kind on the table of feature values and counts. All candidates are
-   counted; the table that reaches the driver is bounded by ``TRAIN_CELLS`` of its rows, chosen by hash.
+4. Boosted trees of depth two are fitted per kind on the table of feature values and counts of all candidates. The table
+   stays on the executors: a round adds up its gradients, and only sums per pair of feature values reach the driver.
 5. A threshold per kind is calibrated on held-out documents: the lowest score from which at least ``PRECISION``
    of the held-out candidates are positive. A kind without such a score adds nothing. Candidates at or above it whose
    canonical form checks out are redacted as well, unless they overlap a span that is already there or have a feature
@@ -26,10 +26,12 @@ very long texts and runs take linear time and no deep recursion.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -74,7 +76,7 @@ BUCKETS = {
 ROUNDS, LEARNING_RATE, LEAST_LEAF = 24, 0.3, 5.0
 PRECISION = 0.9
 HELD_OUT = 5  # one document in five, by its id, calibrates
-TRAIN_CELLS = 20_000
+SCORE_BINS = 4096  # of held-out scores, whose running totals are taken apart
 CONTEXT, CHUNK = 12, 1024  # characters kept before a match; characters of the pieces a text is put together from
 
 
@@ -247,19 +249,21 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def _best_split(rows: Sequence[dict], grads: Sequence[tuple[float, float]], chosen: Sequence[int]) -> tuple | None:
+# Feature values as places in one row: a feature's values follow those of the features before it.
+_AT = dict(zip(BUCKETS, accumulate(BUCKETS.values(), initial=0), strict=False))
+_PLACES = sum(BUCKETS.values())
+Sums = dict[str, list[list[float]]]  # per feature and value the sums of gradients and curvatures
+TREES = "array<struct<s: int, v: int, ls: int, lv: int, ll: double, lr: double, rs: int, rv: int, rl: double, rr: double>>"
+
+
+def _best_split(sums: Sums) -> tuple | None:
     """The (feature, value) whose split 'below value / from value' lowers the loss most, by Newton gain."""
     score = lambda g, h: g * g / (h + 1.0)
-    total = [sum(grads[i][k] for i in chosen) for k in (0, 1)]
+    total = _total(next(iter(sums.values())))
     best, gain = None, 1e-6
-    for name, size in BUCKETS.items():
-        by_value = [[0.0, 0.0] for _ in range(size)]
-        for i in chosen:
-            cell = by_value[rows[i][name]]
-            cell[0] += grads[i][0]
-            cell[1] += grads[i][1]
+    for name, by_value in sums.items():
         left = [0.0, 0.0]
-        for value in range(1, size):
+        for value in range(1, len(by_value)):
             left = [left[k] + by_value[value - 1][k] for k in (0, 1)]
             right = [total[k] - left[k] for k in (0, 1)]
             now = score(*left) + score(*right) - score(*total)
@@ -268,39 +272,125 @@ def _best_split(rows: Sequence[dict], grads: Sequence[tuple[float, float]], chos
     return best
 
 
+def _total(by_value: Sequence[Sequence[float]]) -> list[float]:
+    return [sum(cell[k] for cell in by_value) for k in (0, 1)]
+
+
+def _tree(root: Sums, side: Callable[[tuple, bool], Sums]) -> tuple | None:
+    """The next tree from the sums over all rows and over those on either side of a split."""
+    split = _best_split(root)
+    if split is None:
+        return None
+    sides = []
+    for upper in (False, True):
+        own = side(split, upper)
+        inner = _best_split(own)
+        by_value = next(iter(own.values())) if inner is None else own[inner[0]]
+        parts = [by_value, by_value] if inner is None else [by_value[: inner[1]], by_value[inner[1] :]]
+        leaves = [LEARNING_RATE * g / (h + 1.0) for g, h in map(_total, parts)]
+        sides.append((inner, *leaves))
+    return (split, *sides)
+
+
+def _start(n: int, pos: int) -> float:
+    return math.log((pos + 0.5) / (n - pos + 0.5))
+
+
 def boost(rows: Sequence[dict]) -> tuple[float, list[tuple]]:
     """A starting score and trees ``(split, (split, leaf, leaf), (split, leaf, leaf))`` from weighted rows.
 
-    Each row holds the feature values, ``n`` candidates and ``n_pos`` positive ones.
+    Each row holds the feature values, ``n`` candidates and ``n_pos`` positive ones. The reference for :func:`boosted`.
     """
-    n, pos = sum(r["n"] for r in rows), sum(r["n_pos"] for r in rows)
-    start = math.log((pos + 0.5) / (n - pos + 0.5))
-    scores, trees = [start] * len(rows), []
+    start, trees = _start(sum(r["n"] for r in rows), sum(r["n_pos"] for r in rows)), []
     for _ in range(ROUNDS):
-        grads = []
-        for r, s in zip(rows, scores, strict=True):
-            p = _sigmoid(s)
-            grads.append((r["n_pos"] - r["n"] * p, r["n"] * p * (1 - p)))
-        split = _best_split(rows, grads, range(len(rows)))
-        if split is None:
+        chances = [score_row((start, trees), r) for r in rows]
+        grads = [(r["n_pos"] - r["n"] * p, r["n"] * p * (1 - p)) for r, p in zip(rows, chances, strict=True)]
+
+        def sums(chosen: Callable[[dict], bool], grads: Sequence[tuple[float, float]] = grads) -> Sums:
+            out = {name: [[0.0, 0.0] for _ in range(size)] for name, size in BUCKETS.items()}
+            for r, grad in zip(rows, grads, strict=True):
+                for name in BUCKETS if chosen(r) else ():
+                    for k in (0, 1):
+                        out[name][r[name]][k] += grad[k]
+            return out
+
+        tree = _tree(sums(lambda r: True), lambda split, upper: sums(lambda r: (r[split[0]] >= split[1]) == upper))  # noqa: B023
+        if tree is None:
             break
-        sides = []
-        for side in (False, True):
-            chosen = [i for i, r in enumerate(rows) if (r[split[0]] >= split[1]) == side]
-            inner = _best_split(rows, grads, chosen)
-            leaves = []
-            for part in (False, True):
-                own = [i for i in chosen if inner is None or (rows[i][inner[0]] >= inner[1]) == part]
-                step = LEARNING_RATE * sum(grads[i][0] for i in own) / (sum(grads[i][1] for i in own) + 1.0)
-                leaves.append(step)
-                if inner is not None or part:
-                    for i in own:
-                        scores[i] += step
-            sides.append((inner, *leaves))
-        trees.append((split, *sides))
+        trees.append(tree)
     return start, trees
 
 
+def _scored(models: dict[int, tuple[float, list[tuple]]]) -> Column:
+    """The probability of a cell (kind, places). Trees are one constant, so that code does not grow with them."""
+
+    def flat(tree: tuple) -> dict:
+        (name, value), *sides = tree
+        out = {"s": list(BUCKETS).index(name), "v": _AT[name] + value}
+        for mark, (inner, low, high) in zip("lr", sides, strict=True):
+            name, value = inner or (next(iter(BUCKETS)), 0)
+            out |= {f"{mark}s": list(BUCKETS).index(name), f"{mark}v": _AT[name] + value, f"{mark}l": low, f"{mark}r": high}
+        return out
+
+    def value(t: Column) -> Column:
+        reaches = lambda s, v: F.get("places", t[s]) >= t[v]
+        low, high = (F.when(reaches(f"{m}s", f"{m}v"), t[f"{m}r"]).otherwise(t[f"{m}l"]) for m in "lr")
+        return F.when(reaches("s", "v"), high).otherwise(low)
+
+    total = F.lit(None).cast("double")
+    for kind, (start, trees) in models.items():
+        known = F.from_json(F.lit(json.dumps([flat(t) for t in trees])), TREES)
+        own = F.aggregate(known, F.lit(start), lambda seen, t: seen + value(t))
+        total = F.when(F.col("kind") == kind, own).otherwise(total)
+    return 1 / (1 + F.exp(-total))
+
+
+def boosted(cells: DataFrame, starts: dict[int, float]) -> dict[int, tuple[float, list[tuple]]]:
+    """The same from all cells (kind, places, n, n_pos) of the kinds that ``starts`` has, fitted side by side.
+
+    A round is one aggregation of every cell: sums for each pair of feature values, of which a split and the splits on
+    its two sides follow. So the driver receives at most some thousand sums a round, however many cells there are. They
+    are whole numbers, which no order of adding changes.
+    """
+    models = {kind: (start, []) for kind, start in starts.items()}
+    growing = set(models)
+    unit = 2.0**20
+    both = F.flatten(F.transform("places", lambda x: F.transform(F.filter("places", lambda y: y >= x), lambda y: x * _PLACES + y)))
+    paired = materialized(cells.withColumn("pairs", both), "pii-cells")
+    for _ in range(ROUNDS):
+        if not growing:
+            break
+        rows = paired.where(F.col("kind").isin(sorted(growing))).withColumn("p", _scored(models))
+        grads = rows.select(
+            "kind", "pairs", F.round((F.col("n_pos") - F.col("n") * F.col("p")) * unit).cast("bigint").alias("g"),
+            F.round(F.col("n") * F.col("p") * (1 - F.col("p")) * unit).cast("bigint").alias("h"),
+        )
+        added = grads.select("kind", "g", "h", F.explode("pairs").alias("pair")).groupBy("kind", "pair").agg(
+            F.sum("g").alias("g"), F.sum("h").alias("h")
+        )
+        found: dict[int, dict] = {kind: {} for kind in growing}
+        for r in added.collect():
+            x, y = divmod(r["pair"], _PLACES)
+            found[r["kind"]][x, y] = found[r["kind"]][y, x] = (r["g"] / unit, r["h"] / unit)
+        for kind, pairs in found.items():
+
+            def sums(over: Sequence[int] | None, pairs: dict = pairs) -> Sums:
+                """Sums of the cells with one of the places ``over``, of all without."""
+                cell = lambda place: [pairs.get((place, x), (0.0, 0.0)) for x in ([place] if over is None else over)]
+                return {name: [_total(cell(_AT[name] + v)) for v in range(size)] for name, size in BUCKETS.items()}
+
+            def side(split: tuple, upper: bool, sums: Callable = sums) -> Sums:
+                name, value = split
+                return sums([_AT[name] + v for v in (range(value, BUCKETS[name]) if upper else range(value))])
+
+            tree = _tree(sums(None), side)
+            if tree is None:
+                growing.discard(kind)
+            else:
+                models[kind][1].append(tree)
+    return models
+
+
 def score_row(model: tuple[float, list[tuple]], row: dict) -> float:
     """The probability the trees give to feature values; the reference for :func:`score_column`."""
     total = model[0]
@@ -319,16 +409,23 @@ def score_column(model: tuple[float, list[tuple]], f: Column) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
-def threshold(model: tuple[float, list[tuple]], held_out: Sequence[dict]) -> float | None:
-    """The lowest score from which at least ``PRECISION`` of the held-out candidates are positive."""
-    ranked = sorted(((score_row(model, r), r["n"], r["n_pos"]) for r in held_out), reverse=True)
-    best, n, pos = None, 0, 0
-    for k, (score, rows, positive) in enumerate(ranked):
-        n, pos = n + rows, pos + positive
-        last_of_score = k + 1 == len(ranked) or ranked[k + 1][0] < score
-        if last_of_score and n >= LEAST_LEAF and pos >= PRECISION * n:
-            best = score
-    return best
+def thresholds(cells: DataFrame, models: dict[int, tuple[float, list[tuple]]]) -> dict[int, float]:
+    """Per kind the lowest score from which at least ``PRECISION`` of the held-out candidates are positive.
+
+    Running totals over the scores are taken within bins of them, to which those of the bins above are added.
+    """
+    known = cells.where(F.col("kind").isin(list(models))).select("kind", _scored(models).alias("score"), "n", "n_pos")
+    totals = [F.sum(c).alias(c) for c in ("n", "n_pos")]
+    scores = known.groupBy("kind", "score").agg(*totals).withColumn("bin", F.floor(F.col("score") * SCORE_BINS))
+    above = W.partitionBy("kind").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)
+    bins = scores.groupBy("kind", "bin").agg(*totals)
+    bins = bins.select("kind", "bin", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"above_{c}") for c in ("n", "n_pos")])
+    down = W.partitionBy("kind", "bin").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    so_far = scores.join(bins, ["kind", "bin"]).select(
+        "kind", "score", *[(F.col(f"above_{c}") + F.sum(c).over(down)).alias(c) for c in ("n", "n_pos")]
+    )
+    right = so_far.where((F.col("n") >= LEAST_LEAF) & (F.col("n_pos") >= F.lit(PRECISION) * F.col("n")))
+    return {r["kind"]: r["score"] for r in right.groupBy("kind").agg(F.min("score").alias("score")).collect()}
 
 
 @dataclass(frozen=True)
@@ -345,28 +442,33 @@ class Model:
 
 
 def fit(spans: DataFrame) -> dict[str, Model]:
-    """The model of each kind that can be calibrated, from the candidates of all documents."""
-    features = list(BUCKETS)
+    """The model of each kind that can be calibrated, from the candidates of all documents.
+
+    Candidates with the same feature values are one cell; trees, thresholds and the values seen come from every cell.
+    """
     positive = F.col("checked") | F.col("covered")
-    rows = spans.where("wide").select("held", "kind", positive.cast("int").alias("positive"), "f.*")
-    counts = rows.groupBy("held", "kind", *features).agg(F.count("*").alias("n"), F.sum("positive").alias("n_pos"))
-    chosen = counts.orderBy(F.xxhash64("held", "kind", *features), "held", "kind", *features).limit(TRAIN_CELLS)
-    table = sorted((r.asDict() for r in chosen.collect()), key=lambda r: [r[c] for c in ("held", "kind", *features)])
-    models = {}
-    for k, kind in enumerate(KINDS):
-        train = [r for r in table if r["kind"] == k and not r["held"]]
-        held = [r for r in table if r["kind"] == k and r["held"]]
-        if sum(r["n_pos"] for r in train) < LEAST_LEAF or not held:
-            continue
-        trees = boost(train)
-        cut = threshold(trees, held)
-        if cut is not None:
-            seen = {
-                name: [v for v in range(size) if sum(r["n"] for r in train if r[name] == v) >= LEAST_LEAF]
-                for name, size in BUCKETS.items()
-            }
-            models[kind] = Model(trees, cut, seen)
-    return models
+    places = F.array(*[F.col(f"f.{name}") + at for name, at in _AT.items()])
+    rows = spans.where("wide").select("held", "kind", positive.cast("int").alias("positive"), places.alias("places"))
+    cells = materialized(
+        rows.groupBy("held", "kind", "places").agg(F.count("*").alias("n"), F.sum("positive").alias("n_pos")), "pii-counts"
+    )
+    values = cells.select("held", "kind", "n", "n_pos", F.explode("places").alias("place"))
+    counted = values.groupBy("held", "kind", "place").agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")).collect()
+    train = {(r["kind"], r["place"]): (r["n"], r["n_pos"]) for r in counted if not r["held"]}
+    held = {r["kind"] for r in counted if r["held"]}
+    first = next(iter(BUCKETS.values()))  # every cell has one of the first feature's places
+    totals = {k: _total([train.get((k, v), (0, 0)) for v in range(first)]) for k in range(len(KINDS))}
+    starts = {k: _start(n, pos) for k, (n, pos) in totals.items() if pos >= LEAST_LEAF and k in held}
+    if not starts:
+        return {}
+    grown = boosted(cells.where(~F.col("held")), starts)
+    often = lambda k, place: train.get((k, place), (0, 0))[0] >= LEAST_LEAF
+    return {
+        KINDS[k]: Model(
+            grown[k], cut, {name: [v for v in range(size) if often(k, _AT[name] + v)] for name, size in BUCKETS.items()}
+        )
+        for k, cut in sorted(thresholds(cells.where("held"), grown).items())
+    }
 
 
 def chosen(spans: DataFrame, models: dict[str, Model]) -> DataFrame:

@@ -217,6 +217,31 @@ def test_boosted_trees_as_columns(spark):
     assert got[got.n_pos == 9].p.min() > got[got.n_pos == 1].p.max()
 
 
+def test_models_are_fitted_on_every_cell(spark, monkeypatch):
+    """More cells than any table of counts that could be collected before; trees and thresholds as from all of them."""
+    monkeypatch.setattr(pii, "ROUNDS", 3)
+    rng = np.random.default_rng(2)
+    table = pd.DataFrame({k: rng.integers(n, size=26_000) for k, n in pii.BUCKETS.items()})
+    table["kind"], table["held"] = rng.integers(2, size=len(table)), rng.random(len(table)) < 0.2
+    table["checked"] = (table["digits"] + 2 * table["word"] + table["kind"] > 3) ^ (rng.random(len(table)) < 0.03)
+    frame = spark.createDataFrame(table)
+    got = pii.fit(frame.select(
+        "held", F.lit(True).alias("wide"), F.col("kind").cast("int").alias("kind"), "checked", F.lit(False).alias("covered"),
+        F.struct(*[F.col(k).cast("int").alias(k) for k in pii.BUCKETS]).alias("f"),
+    ))
+    assert sorted(got) == ["email", "ip"]
+    for kind, name in enumerate(("email", "ip")):
+        rows = table[table["kind"] == kind].assign(n=1, n_pos=lambda t: t["checked"].astype(int)).to_dict("records")
+        start, trees = pii.boost([r for r in rows if not r["held"]])
+        assert abs(got[name].trees[0] - start) < 1e-9 and [t[0] for t in got[name].trees[1]] == [t[0] for t in trees]
+        held = [r for r in rows if r["held"]]
+        scores = np.array([pii.score_row(got[name].trees, r) for r in held])
+        assert np.allclose(scores, [pii.score_row((start, trees), r) for r in held], atol=1e-5)
+        positive = np.array([r["n_pos"] for r in held])
+        right = [c for c in np.unique(scores) if (top := scores >= c - 1e-12).sum() >= 5 and positive[top].mean() >= 0.9]
+        assert abs(got[name].cut - min(right)) < 1e-9
+
+
 def test_gru_gradients_and_accuracy(documents, odd_documents):
     net = language_id.ByteGru(3, hidden=4, seed=1)
     for name in ("table", "state", "out", "bias"):
