@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import tokens
 from corpusmill.operators import batches
+from corpusmill.session import spread
 
 
 def frame(spark):
@@ -104,3 +105,19 @@ def test_collated_batches_are_carried_over_arrow_batches(spark):
     plan = collated._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan and "FlatMapGroups" not in plan
     assert batches.collate_batches(rows.limit(0), whole, "batch BIGINT, n BIGINT, kinds BIGINT").count() == 0
+
+
+def test_rows_of_one_row_group_are_dealt_to_all_cores(spark, tmp_path):
+    """Spark cuts the file into more splits than cores, of which one reads all rows."""
+    spark.range(4000).selectExpr("id AS doc_id", "sha2(string(id), 512) AS text").coalesce(1).write.parquet(f"{tmp_path}/one")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        for folder, moved in ((f"{tmp_path}/one", True), (None, False)):
+            table = spark.read.parquet(folder) if folder else spark.range(4000, numPartitions=40)
+            assert table.rdd.getNumPartitions() >= 8
+            dealt = spread(table)
+            rows = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(rows) == 4000 and max(rows) <= 2 * 4000 / 8 and (dealt is table) != moved
+            assert dealt.distinct().count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
