@@ -14,7 +14,7 @@ from corpusmill.functions.frames import frame, framed_size
 from corpusmill.functions.wikitext import strip_markup
 from corpusmill.operators import batches, ordering, overlap, redundancy, replicate, sizes
 from corpusmill.plans import code, measure, staged, wiki
-from corpusmill.session import file_system, materialized, qualified, spread, work_folder
+from corpusmill.session import dealt, file_system, materialized, qualified, spread, work_folder
 from corpusmill.sinks import append, chunks, jsonl, rejects, store
 from corpusmill.sources import files, mediawiki, spans
 from corpusmill.sources import text as text_source
@@ -384,8 +384,11 @@ def near_duplicate_flips(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def near_duplicate_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """Each variant against its document; dealt by document before they are cut, blocks stay where they arise."""
-    varied = _variants(documents(spark, sf, "doc_id", "text").repartition("doc_id"), with_base=True)
+    """Each variant against its document; dealt by document before they are cut, blocks stay where they arise.
+
+    The blocks of all variants take many times the text they come from, so a partition holds a share of it only.
+    """
+    varied = _variants(dealt(documents(spark, sf, "doc_id", "text"), F.octet_length("text"), "doc_id"), with_base=True)
     pieces = redundancy.split_blocks(varied, "flipped", ["doc_id", "variant"], OVERLAP_BLOCK)
     pieces = pieces.select("doc_id", F.col("variant").cast("bigint").alias("variant"), redundancy.fingerprint(F.col("block")).alias("fp"))
     return redundancy.overlap_with_base(pieces, "doc_id", "variant", replicate.VARIANTS)

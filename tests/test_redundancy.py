@@ -3,9 +3,11 @@ import random
 
 from pyspark.sql import functions as F
 
+from corpusmill import session
 from corpusmill.functions.corruption import flip_low_bits
 from corpusmill.operators import redundancy, replicate, skew
 from corpusmill.operators.skew import join_per_key
+from corpusmill.plans import catalog
 from corpusmill.session import work_folder
 from corpusmill.sinks import store
 
@@ -180,3 +182,14 @@ def test_group_stores_and_the_whole(spark):
     assert sizes["ALL", True] == (len(blocks), sum(map(len, blocks)))
     got = {r.id: bytes(r.content) for r in store.restored_records(spark, f"{folder}/whole", "id").collect()}
     assert got == {i: t.encode() for i, _, t in rows}
+
+
+def test_a_task_compares_the_variants_of_a_bounded_share(spark, tmp_path, monkeypatch):
+    """More text makes more partitions, not larger ones."""
+    text = F.concat_ws(" ", *[F.sha2(F.concat_ws("-", "id", F.lit(k)), 512) for k in range(8)])
+    spark.range(600).select(F.col("id").alias("doc_id"), text.alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(session, "DEALT_BYTES", 20_000)
+    found = catalog.near_duplicate_overlap(spark, str(tmp_path))
+    found.write.parquet(f"{tmp_path}/out")
+    assert found.rdd.getNumPartitions() >= 600 * 1031 // 20_000
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 600 * replicate.VARIANTS
