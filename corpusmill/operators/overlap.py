@@ -30,7 +30,7 @@ from corpusmill.session import materialized, ship_package
 SIMILARITY = 50  # per cent
 UNIT = 2048
 # Pairs looked at, and set members compared, at once.
-PAIRS, MEMBERS = 1 << 18, 1 << 21
+PAIRS, MEMBERS = 1 << 18, 1 << 19
 
 
 def block_sets(df: DataFrame, key: str, data: str, block_bytes: int | None = BLOCK_BYTES) -> DataFrame:
@@ -139,7 +139,8 @@ def _compare(table: pa.Table, similarity: int) -> pa.RecordBatch | None:
     end = np.searchsorted(g, g, side="right")
     begin = np.where(both_sides, place + 1, first_right)
     counts = np.where(left[order], end - begin, 0)
-    out = []
+    # What a stretch of pairs tells of a class is added to what is known of it; no pair outlasts its stretch.
+    links, greatest, nearest = np.zeros(len(cid), np.int64), np.zeros(len(cid)), np.full(len(cid), -1)
     for row, number in _expanded(counts, PAIRS):
         a, b = order[row], order[begin[row] + number]
         least, most = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
@@ -150,16 +151,22 @@ def _compare(table: pa.Table, similarity: int) -> pa.RecordBatch | None:
         both, early = _shares(a, b, pos, offsets, code)
         linked = ~early & ((100 + similarity) * both >= similarity * (n[a] + n[b]))
         a, b, both = a[linked], b[linked], both[linked]
+        if not len(a):
+            continue
         jaccard = both / (n[a] + n[b] - both)
-        out.append((np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([jaccard, jaccard])))
-    one, other, jaccard = (np.concatenate(c) for c in zip(*out, strict=True))
-    if not len(one):
+        one, other, jaccard = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([jaccard, jaccard])
+        links += np.bincount(one, weights=copies[other], minlength=len(cid)).astype(np.int64)
+        best = np.lexsort((rank[other], -jaccard, one))
+        best = best[np.append(True, np.diff(one[best]) != 0)]
+        one, other, jaccard = one[best], other[best], jaccard[best]
+        nearer = (jaccard == greatest[one]) & (rank[other] < rank[nearest[one]])
+        better = (jaccard > greatest[one]) | nearer
+        greatest[one[better]], nearest[one[better]] = jaccard[better], other[better]
+    found = np.flatnonzero(nearest >= 0)
+    if not len(found):
         return None
-    links = np.bincount(one, weights=copies[other], minlength=len(cid)).astype(np.int64)
-    best = np.lexsort((rank[other], -jaccard, one))
-    best = best[np.append(True, np.diff(one[best]) != 0)]
     return pa.RecordBatch.from_arrays(
-        [cid.take(pa.array(one[best])), pa.array(links[one[best]]), pa.array(jaccard[best]), cid.take(pa.array(other[best]))],
+        [cid.take(pa.array(found)), pa.array(links[found]), pa.array(greatest[found]), cid.take(pa.array(nearest[found]))],
         names=["cid", "links", "similarity", "nearest"],
     )
 

@@ -1,8 +1,10 @@
 """Block overlap between any records, against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusmill.operators import overlap
@@ -91,3 +93,28 @@ def test_pairs_are_dealt_in_whole_rows():
     parts = list(overlap._expanded(counts, 4))
     assert np.concatenate([p[0] for p in parts]).tolist() == np.repeat(np.arange(7), counts).tolist()
     assert np.concatenate([p[1] for p in parts]).tolist() == [k for n in counts for k in range(n)]
+
+
+def test_memory_does_not_grow_with_the_pairs_linked():
+    """Two units that meet, every pair linked: what is held follows the members, not the pairs."""
+
+    def peak(size):
+        rows, unit = range(2 * size), [{"band": 0, "k": 0}, {"band": 0, "k": 1}]
+        table = pa.table({
+            "block": pa.array([b"x"] * len(rows)), "lo": pa.array([unit[0]] * len(rows)), "hi": pa.array([unit[1]] * len(rows)),
+            "left": pa.array([r < size for r in rows]), "right": pa.array([r >= size for r in rows]),
+            "cid": pa.array(rows, pa.int64()), "n": pa.array([2] * len(rows), pa.int32()),
+            "copies": pa.array([1] * len(rows), pa.int64()), "pos": pa.array([0] * len(rows), pa.int32()),
+            "shared": pa.array([[b"x", b"y"]] * len(rows)),
+        })
+        tracemalloc.start()
+        got = overlap._compare(table, 50).to_pydict()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sorted(got["cid"]) == list(rows) and set(got["links"]) == {size} and set(got["similarity"]) == {1.0}
+        assert {c: n for c, n in zip(got["cid"], got["nearest"], strict=True)} == {r: size if r < size else 0 for r in rows}
+        return most / 2**20
+
+    small, large = peak(512), peak(2048)
+    print(f"MB held: {small:.0f} and {large:.0f}, pairs times 16")
+    assert large < 1.5 * small
