@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import ordering, redundancy, replicate, sizes
 from corpusmill.plans import code, wiki
 from corpusmill.plans.ledger import DONE, FAILED, Ledger
+from corpusmill.session import PACKED
 from corpusmill.sinks import copies
 from corpusmill.sources import files, text
 from corpusmill.streaming import ingest
@@ -153,11 +154,10 @@ class Build:
     def _hot_duplicates(self) -> bool:
         """The base prefix once as bytes, then its copies: the files a copying loop would leave."""
         folder = f"{self.root}/synthetic/hot_duplicates"
-        text.head_bytes(self._web_lines(), self.inputs.base_bytes, written=True).write.mode("overwrite").parquet(
-            f"{folder}/file={replicate.BASE_NAME}"
-        )
+        base = text.head_bytes(self._web_lines(), self.inputs.base_bytes, written=True)
+        base.write.mode("overwrite").options(**PACKED).parquet(f"{folder}/file={replicate.BASE_NAME}")
         copies = replicate.exact_copies(self._base).where("copy > 0").select("file", "pos", "piece")
-        copies.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(folder)
+        copies.write.mode("overwrite").options(**PACKED).option("partitionOverwriteMode", "dynamic").partitionBy("file").parquet(folder)
         return True
 
     def _near_duplicates(self) -> bool:
@@ -167,13 +167,13 @@ class Build:
         name = F.format_string(replicate.VARIANT_NAME, "variant")
         varied.select(name.alias("file"), "pos", "block_no", F.col("flipped").alias("piece"), "flips").write.mode(
             "overwrite"
-        ).partitionBy("file").parquet(f"{self.root}/synthetic/near_dupes")
+        ).options(**PACKED).partitionBy("file").parquet(f"{self.root}/synthetic/near_dupes")
         return True
 
     def _append_logs(self) -> bool:
         lines = text.with_line_position(self._web_lines(), written=True)
         logs = replicate.append_logs(lines, "pos", "value")
-        logs.write.mode("overwrite").partitionBy("file").parquet(f"{self.root}/synthetic/append_logs")
+        logs.write.mode("overwrite").options(**PACKED).partitionBy("file").parquet(f"{self.root}/synthetic/append_logs")
         return True
 
     def _models(self) -> bool:

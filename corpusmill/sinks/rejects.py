@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from corpusmill.session import materialized
+from corpusmill.session import PACKED, materialized
 
 CAUSE = "cause"
 
@@ -30,7 +30,7 @@ def part(rows: DataFrame, name: str = "parted") -> Parted:
     seen = Observation()
     cause = F.col(CAUSE)
     counted = rows.observe(seen, F.count_if(cause.isNull()).alias("kept"), F.count_if(cause.isNotNull()).alias("rejected"))
-    written = materialized(counted, name)
+    written = materialized(counted, name, **PACKED)
     counts = seen.get
     return Parted(
         written.where(cause.isNull()).drop(CAUSE), written.where(cause.isNotNull()), counts["kept"], counts["rejected"]

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusmill.session import PACKED
+
 COLLECTED_SCHEMA = "file STRING, block BIGINT, seq BIGINT, value STRING"
 
 
@@ -34,7 +36,7 @@ def collect_lines(lines: DataFrame, target: str, checkpoint: str) -> StreamingQu
 
     def write(batch: DataFrame, batch_id: int) -> None:
         placed = batch.withColumn("seq", F.monotonically_increasing_id())
-        placed.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        placed.write.mode("overwrite").options(**PACKED).parquet(f"{target}/batch={batch_id}")
 
     query = (
         lines.writeStream.foreachBatch(write)

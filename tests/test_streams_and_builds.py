@@ -163,6 +163,16 @@ def test_stages_run_once_restart_alone_and_report(spark, inputs):
     assert report["ALL"][0] == sum(v[0] for c, v in report.items() if c != "ALL")
 
 
+def test_tables_of_whole_texts_are_packed(spark, inputs):
+    """A build writes its text many times over, so its tables are written with the denser codec."""
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    build.run()
+    root = pathlib.Path(build.root.removeprefix("file://"))
+    for folder in ("web/combined", "synthetic/hot_duplicates", "synthetic/near_dupes", "synthetic/append_logs"):
+        parts = list((root / folder).rglob("*.parquet"))
+        assert parts and all(p.name.endswith(".zstd.parquet") for p in parts)
+
+
 def test_partial_builds_run_what_has_its_input(spark, inputs):
     web, inputs.web = inputs.web, None
     build = staged.Build(spark, work_folder(spark, "build"), inputs)
