@@ -171,9 +171,13 @@ class Build:
         return True
 
     def _append_logs(self) -> bool:
+        """Every line of every log, as one table with the log's file name as a column.
+
+        A line's copies lie side by side, where the codec finds them; in a folder per log each would be packed anew.
+        """
         lines = text.with_line_position(self._web_lines(), written=True)
         logs = replicate.append_logs(lines, "pos", "value")
-        logs.write.mode("overwrite").options(**PACKED).partitionBy("file").parquet(f"{self.root}/synthetic/append_logs")
+        logs.write.mode("overwrite").options(**PACKED).parquet(f"{self.root}/synthetic/append_logs")
         return True
 
     def _models(self) -> bool:

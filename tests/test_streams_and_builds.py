@@ -2,6 +2,7 @@ import bz2
 import gzip
 import hashlib
 import pathlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -173,6 +174,29 @@ def test_tables_of_whole_texts_are_packed(spark, inputs):
         assert parts and all(p.name.endswith(".zstd.parquet") for p in parts)
 
 
+def test_append_logs_are_whole_and_take_the_room_of_about_one(spark, inputs, tmp_path):
+    """Each log holds all lines of the web and what was appended; their copies are packed together."""
+    generator = random.Random(5)
+    lines = ["".join(generator.choices("0123456789abcdef", k=generator.randint(0, 400))) for _ in range(4_000)]
+    put(tmp_path / "long", "a.gz", lines[:2_500])
+    put(tmp_path / "long", "b.gz", lines[2_500:])
+    inputs.web, inputs.dump, inputs.records, inputs.models = str(tmp_path / "long"), None, None, None
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    build.run()
+    for _ in range(2):
+        logs = spark.read.parquet(f"{build.root}/synthetic/append_logs")
+        found = {}
+        for r in logs.orderBy("file", "part", "seq").collect():
+            found.setdefault((r.log, r.file), []).append(r.line)
+        expected = lines + [f"LOG ENTRY {j}" for j in range(1, 11)]
+        assert found == {(i, f"log_{i}.txt"): expected for i in range(1, 6)}
+        root = pathlib.Path(build.root.removeprefix("file://"))
+        size = {n: sum(p.stat().st_size for p in (root / n).rglob("*.parquet")) for n in ("web/combined", "synthetic/append_logs")}
+        assert size["synthetic/append_logs"] < 2 * size["web/combined"]
+        build.restart("append_logs")
+        assert build.run() == ["append_logs"]
+
+
 def test_partial_builds_run_what_has_its_input(spark, inputs):
     web, inputs.web = inputs.web, None
     build = staged.Build(spark, work_folder(spark, "build"), inputs)
