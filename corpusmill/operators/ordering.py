@@ -35,6 +35,7 @@ MILESTONE_ROWS = 100
 DENSE_KEY = (16, 36)  # record positions: neighbours share a bucket
 PROBE_KEYS, PROBE_GROWTH = 1 << 16, 8  # keys of the first range that is totalled for a budget; growth of the next
 HASH_KEY = (28, 40)  # 52-bit hashes: 2**24 buckets, filled evenly
+GROUP_ROWS, MOST_GROUPS = 10_000, 1 << 12  # rows of a group that is written by one task, and how many groups there may be
 
 
 def _div(value: Column, by: int) -> Column:
@@ -154,6 +155,31 @@ def with_position(
     return ordered if buckets["full"] == 0 else ranked.unionByName(ordered)
 
 
+def in_groups(df: DataFrame, key: str, tie: Sequence[str] = (), unit: int = 1, name: str = "pos", group: str = "group") -> DataFrame:
+    """Add the row's rank as ``with_position`` does, and its group: so many whole units of ``unit`` consecutive ranks.
+
+    A row moves once, whatever gaps the key has, and lies with its whole group in one partition. The keys alone, written
+    down once, are ranked; where each group begins is a table of at most ``MOST_GROUPS`` rows (one for every core's share,
+    or for ``GROUP_ROWS`` rows) that every task holds, and inside a group the rank follows from the order.
+    """
+    place = F.struct(F.col(key).alias(key), *[F.col(c).alias(c) for c in tie])
+    keys = materialized(df.select(key, *tie), "keys")
+    units = -(-keys.count() // unit)
+    groups = min(max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-units * unit // GROUP_ROWS)), MOST_GROUPS)
+    step = unit * max(-(-units // groups), 1)
+    first = with_position(keys, key, tie, name="_first").where(F.col("_first") % step == 0)
+    begun = first.select("_first", place.alias("_from"), _div(F.col("_first"), step).alias(group))
+    begun = materialized(begun, "groups")
+    to = F.lead("_from").over(W.orderBy("_first"))
+    bounds = F.broadcast(begun.withColumn("_to", to))
+    # Numbers first: they tell all but the group at hand apart, and cost less than the whole place.
+    near = (F.col(key) >= F.col("_from")[key]) & (F.col("_to").isNull() | (F.col(key) <= F.col("_to")[key]))
+    inside = near & (place >= F.col("_from")) & (F.col("_to").isNull() | (place < F.col("_to")))
+    found = df.join(bounds, inside).select(*df.columns, "_first", group).repartition(group)
+    rank = F.row_number().over(W.partitionBy(group).orderBy(key, *tie))
+    return found.select(*df.columns, group, (F.col("_first") + rank - 1).alias(name))
+
+
 @dataclass(frozen=True)
 class Cut:
     """Where a budget is reached: the last key taken, none if all rows are, and the total before it."""

@@ -30,14 +30,13 @@ def write_shards(
 ) -> None:
     """Write ``<path>/dir=AA/file=wiki_00/*.json``, each holding up to 100 records in order.
 
-    Rows travel by shard number, of which each has a fixed number of rows, so the last folder, where all
-    further shards wrap into the same file names, still spreads over tasks and gets several parts.
+    A text moves once, with its group of consecutive shards, of which each has a fixed number of rows; so the last folder,
+    where all further shards wrap into the same file names, still spreads over tasks and gets several parts.
     """
     rows_per_file = layout.get("rows_per_file", ordering.ROWS_PER_SHARD)
-    placed = place_in_shards(df, key, tie, **layout)
+    placed = ordering.in_groups(df, key, tie, rows_per_file).withColumns(ordering.shard_columns("pos", **layout))
     (
-        placed.repartition("shard")
-        .sortWithinPartitions("dir", "file", "shard", "pos")
+        placed.sortWithinPartitions("dir", "file", "shard", "pos")
         .select("dir", "file", *fields)
         .write.mode(mode)
         .partitionBy("dir", "file")

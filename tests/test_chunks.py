@@ -5,7 +5,9 @@ from urllib.parse import urlparse
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from test_ordering import exchanges_with
 
 from corpusmill.plans import code, measure
 from corpusmill.session import qualified, work_folder
@@ -162,6 +164,17 @@ def test_shards_are_complete_ordered_and_wrap(spark):
         assert len(open(urlparse(found.path).path).readlines()) <= 4
 
 
+def test_shards_move_a_text_once(spark, monkeypatch):
+    """Also where keys have gaps, so that their ranks do not follow from the keys alone."""
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "json", lambda self, path: written.append(self._df))
+    rows = [(str(i), f"t{i}", f"text {i}", 3 * i) for i in range(57)]
+    frame = spark.createDataFrame(rows, "id STRING, title STRING, text STRING, k BIGINT")
+    jsonl.write_shards(frame, "unused", "k", ("id",), rows_per_file=4)
+    assert len(written) == 1 and written[0].count() == 57
+    assert exchanges_with(written[0]._jdf.queryExecution().executedPlan(), "text") == 1
+
+
 def test_non_numeric_identifiers_get_a_place(spark):
     frame = spark.createDataFrame([("7",), ("x-1",), ("12",)], "id STRING")
     keys = {r.id: r.k for r in frame.select("id", jsonl.numeric_key("id").alias("k")).collect()}

@@ -45,6 +45,48 @@ def test_null_and_repeated_keys_are_refused(spark, keys):
         ordering.running_totals(frame, "k", {"rows": F.lit(1)}).collect()
 
 
+def exchanges_with(plan, column):
+    """Exchanges of a physical plan that move a column."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()
+    children = plan.children()
+    below = sum(exchanges_with(children.apply(i), column) for i in range(children.size()))
+    return below + (plan.nodeName() == "Exchange" and f"{column}#" in plan.output().mkString(","))
+
+
+@pytest.mark.parametrize("unit", [1, 7])
+@pytest.mark.parametrize("kind", [*KEYS, "one", "none"])
+def test_groups_hold_whole_units_of_ranked_rows_that_moved_once(spark, kind, unit):
+    rows, frame = table(spark, KEYS.get(kind, [5] if kind == "one" else [])) if kind != "none" else ([], spark.createDataFrame([], "k BIGINT, size BIGINT"))
+    found = ordering.in_groups(frame, "k", unit=unit)
+    got = found.withColumn("part", F.spark_partition_id()).collect()
+    assert {r.k: (r.pos, r.size) for r in got} == {k: (i, s) for i, (k, s) in enumerate(sorted(rows))}
+    assert len(got) == len(rows)
+    parts, groups = {}, {}
+    for r in got:
+        parts.setdefault(r.group, set()).add(r.part)
+        groups.setdefault(r.pos // unit, set()).add(r.group)
+    assert all(len(p) == 1 for p in parts.values()) and all(len(g) == 1 for g in groups.values())
+    assert len(parts) == (0 if kind == "none" else 1) or len(parts) > 20
+    wide = ordering.in_groups(frame.repartition(3, "k").withColumn("text", F.col("k").cast("string")), "k", unit=unit)
+    assert exchanges_with(wide._jdf.queryExecution().executedPlan(), "text") == 1
+
+
+def test_groups_part_keys_that_only_their_ties_tell_apart(spark):
+    rows = [(k, f"t{t:02d}") for k in (3, 3_000_000) for t in range(90)] + [(7, None)]
+    frame = spark.createDataFrame(random.Random(4).sample(rows, len(rows)), "k BIGINT, t STRING").repartition(5)
+    got = ordering.in_groups(frame, "k", ("t",), 2).collect()
+    assert {(r.k, r.t): r.pos for r in got} == {r: i for i, r in enumerate(sorted(rows, key=lambda r: (r[0], r[1] or "")))}
+    assert len({r.group for r in got}) > 20
+
+
+@pytest.mark.parametrize("keys", [[1, 2, None], [1, 1, 3]])
+def test_groups_refuse_null_and_repeated_keys(spark, keys):
+    frame = spark.createDataFrame([(k,) for k in keys], "k BIGINT")
+    with pytest.raises(Exception, match="null order key" if None in keys else "repeated order key"):
+        ordering.in_groups(frame, "k").collect()
+
+
 def test_ties_are_broken_by_the_further_columns(spark):
     frame = spark.createDataFrame([(1, "b"), (1, "a"), (0, "z"), (1, "c")], "k BIGINT, t STRING")
     got = {r.t: r.pos for r in ordering.with_position(frame, "k", ("t",)).collect()}
