@@ -14,7 +14,7 @@ from corpusmill.functions.frames import frame, framed_size
 from corpusmill.functions.wikitext import strip_markup
 from corpusmill.operators import batches, ordering, overlap, redundancy, replicate, sizes
 from corpusmill.plans import code, measure, staged, wiki
-from corpusmill.session import dealt, file_system, materialized, qualified, spread, work_folder
+from corpusmill.session import dealt, file_system, materialized, qualified, shuffles_removed, spread, work_folder
 from corpusmill.sinks import append, chunks, jsonl, rejects, store
 from corpusmill.sources import files, mediawiki, spans
 from corpusmill.sources import text as text_source
@@ -717,15 +717,16 @@ def streaming_chunks(spark: SparkSession, sf: str) -> DataFrame:
 def _built(spark: SparkSession, sf: str) -> staged.Build:
     """All stages from inputs derived from the tables, one of them restarted; one of two listed models is missing."""
     models = work_folder(spark, "models")
-    documents(spark, sf, "text").write.text(f"{models}/owner_model")
-    inputs = staged.Inputs(
-        web=_gzip_text(spark, sf),
-        dump=_dump(spark, sf, [wrapped()]),
-        records=_records(spark, sf),
-        models=models,
-        manifest=["owner/model|A model", "other|Another model"],
-        rows_per_chunk=ROWS_PER_CHUNK,
-    )
+    with shuffles_removed(spark):
+        documents(spark, sf, "text").write.text(f"{models}/owner_model")
+        inputs = staged.Inputs(
+            web=_gzip_text(spark, sf),
+            dump=_dump(spark, sf, [wrapped()]),
+            records=_records(spark, sf),
+            models=models,
+            manifest=["owner/model|A model", "other|Another model"],
+            rows_per_chunk=ROWS_PER_CHUNK,
+        )
     build = staged.Build(spark, work_folder(spark, "build"), inputs)
     build.run()
     build.restart("append_logs")

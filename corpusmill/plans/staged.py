@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import ordering, redundancy, replicate, sizes
 from corpusmill.plans import code, wiki
 from corpusmill.plans.ledger import DONE, FAILED, Ledger
-from corpusmill.session import PACKED
+from corpusmill.session import PACKED, shuffles_removed
 from corpusmill.sinks import copies
 from corpusmill.sources import files, text
 from corpusmill.streaming import ingest
@@ -67,7 +67,7 @@ class Build:
         order.prepare()
         ran, failed, there = set(), {}, set()
         running: dict[Future, str] = {}
-        with ThreadPoolExecutor(len(self.NEEDS)) as pool:
+        with shuffles_removed(self.spark), ThreadPoolExecutor(len(self.NEEDS)) as pool:
             while order.is_active():
                 for stage in order.get_ready():
                     if self.ledger.is_done(stage):

@@ -3,13 +3,14 @@ import gzip
 import hashlib
 import pathlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.plans import staged, wiki
 from corpusmill.plans.ledger import Ledger
-from corpusmill.session import work_folder
+from corpusmill.session import SHUFFLES_GO, shuffles_removed, work_folder
 from corpusmill.sinks import chunks
 from corpusmill.streaming import blockstore, ingest
 from corpusmill.streaming import chunks as stream_chunks
@@ -197,6 +198,31 @@ def test_append_logs_are_whole_and_take_the_room_of_about_one(spark, inputs, tmp
         assert build.run() == ["append_logs"]
 
 
+def shuffle_files(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_a_build_leaves_no_shuffle_files(spark, inputs):
+    before = shuffle_files(spark)
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    assert build.run() == list(staged.Build.NEEDS)
+    until = time.time() + 20  # they are removed behind the query's back
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    frame = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    assert spark.conf.get(SHUFFLES_GO) == "false"
+    with shuffles_removed(spark):
+        assert len(frame.collect()) == len(frame.collect()) == frame.count() == 7
+    spark.conf.set(SHUFFLES_GO, "true")
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
+        1 / 0  # noqa: B018
+    assert spark.conf.get(SHUFFLES_GO) == "true"
+    spark.conf.set(SHUFFLES_GO, "false")
+
+
 def test_partial_builds_run_what_has_its_input(spark, inputs):
     web, inputs.web = inputs.web, None
     build = staged.Build(spark, work_folder(spark, "build"), inputs)
