@@ -133,6 +133,7 @@ class Build:
         if self._large_enough("wiki", self.inputs.wiki_gate_gib):
             return True
         parted = wiki.build(self.spark, self.inputs.dump, f"{self.root}/wiki", rejected=f"{self.root}/_rejects/wiki")
+        parted.remove()  # shards and rejects are written
         if parted.n_rejected:
             self.ledger.mark("rejected", "wiki", str(parted.n_rejected))
         if files.inventory(self.spark, f"{self.root}/wiki", "*.json").isEmpty():

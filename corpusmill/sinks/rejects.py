@@ -7,19 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from corpusmill.session import PACKED, materialized
+from corpusmill.session import PACKED, remove_folder, work_folder
 
 CAUSE = "cause"
 
 
 @dataclass(frozen=True)
 class Parted:
-    """Both parts of a written table, and how many rows each has; a row with a ``cause`` is rejected."""
+    """Both parts of the table at ``path``, and how many rows each has; a row with a ``cause`` is rejected."""
 
     kept: DataFrame
     rejected: DataFrame
     n_kept: int
     n_rejected: int
+    path: str
+
+    def remove(self) -> None:
+        """Delete the table, once neither part is read any more; the counts stay."""
+        remove_folder(self.kept.sparkSession, self.path)
 
 
 def part(rows: DataFrame, name: str = "parted") -> Parted:
@@ -30,8 +35,10 @@ def part(rows: DataFrame, name: str = "parted") -> Parted:
     seen = Observation()
     cause = F.col(CAUSE)
     counted = rows.observe(seen, F.count_if(cause.isNull()).alias("kept"), F.count_if(cause.isNotNull()).alias("rejected"))
-    written = materialized(counted, name, **PACKED)
+    path = work_folder(rows.sparkSession, name)
+    counted.write.options(**PACKED).parquet(path)
+    written = rows.sparkSession.read.schema(counted.schema).parquet(path)
     counts = seen.get
     return Parted(
-        written.where(cause.isNull()).drop(CAUSE), written.where(cause.isNotNull()), counts["kept"], counts["rejected"]
+        written.where(cause.isNull()).drop(CAUSE), written.where(cause.isNotNull()), counts["kept"], counts["rejected"], path
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.plans import staged, wiki
 from corpusmill.plans.ledger import Ledger
-from corpusmill.session import SHUFFLES_GO, shuffles_removed, work_folder
+from corpusmill.session import SHUFFLES_GO, shared_root, shuffles_removed, work_folder
 from corpusmill.sinks import chunks
 from corpusmill.streaming import blockstore, ingest
 from corpusmill.streaming import chunks as stream_chunks
@@ -223,6 +223,20 @@ def test_a_build_leaves_no_shuffle_files(spark, inputs):
     spark.conf.set(SHUFFLES_GO, "false")
 
 
+def test_a_build_keeps_its_articles_as_shards_only(spark, inputs):
+    """The table that shards and rejects are written from is gone after that, and only that one."""
+    shared = pathlib.Path(shared_root(spark).removeprefix("file://"))
+    before = set(shared.iterdir())
+    build = staged.Build(spark, work_folder(spark, "build"), inputs)
+    build.run()
+    assert not [p for p in set(shared.iterdir()) - before if p.name.startswith("articles-")]
+    assert before <= set(shared.iterdir())
+    shards = spark.read.json(f"{build.root}/wiki").collect()
+    assert sorted((r.id, r.text) for r in shards) == sorted((str(i), "word " * 30 + str(i)) for i in range(30))
+    parted = wiki.build(spark, inputs.dump, f"{build.root}/again")
+    assert parted.kept.count() == parted.n_kept == 30  # a caller's own
+
+
 def test_partial_builds_run_what_has_its_input(spark, inputs):
     web, inputs.web = inputs.web, None
     build = staged.Build(spark, work_folder(spark, "build"), inputs)
